@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
-from basketry.functions.columns import percent, without_nan
+from basketry.functions.columns import denoised, percent, without_nan
 from basketry.operators.ranking import SINGLE_TASK_ROWS, order_statistics
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
@@ -104,35 +104,29 @@ def describe(
     if not columns:
         raise ValueError("no numeric column to describe")
     numbers = df.select(*[_number(df, c).alias(c) for c in columns])
-    measures = {
-        "count": lambda c: F.count(_cell(c)),
-        "mean": lambda c: F.round(F.avg(_cell(c)), 2),
-        "std": lambda c: F.round(F.stddev_samp(_cell(c)), 2),
-        "min": lambda c: F.round(F.min(_cell(c)), 2),
-    }
-    last = {"max": lambda c: F.round(F.max(_cell(c)), 2)}
-
-    def quartiles(make) -> dict:
-        return {
-            name: lambda c, p=p: F.round(make(_cell(c), p), 2) for name, p in QUARTILES.items()
+    def to_places(value: Column) -> Column:
+        # Half-even at two places, on values freed of float noise.
+        return F.bround(denoised(value), 2)
+
+    def summary(quartile: Callable[[str, float], Column]) -> DataFrame:
+        measures = {
+            "count": lambda c: F.count(_cell(c)),
+            "mean": lambda c: to_places(F.avg(_cell(c))),
+            "std": lambda c: to_places(F.stddev_samp(_cell(c))),
+            "min": lambda c: to_places(F.min(_cell(c))),
+            **{
+                name: lambda c, p=p: to_places(quartile(c, p)) for name, p in QUARTILES.items()
+            },
+            "max": lambda c: to_places(F.max(_cell(c))),
         }
+        return _per_column(numbers, columns, measures)
 
     if approximate:
-        measures |= quartiles(lambda c, p: F.percentile_approx(c, p, 10_000)) | last
-        return _per_column(numbers, columns, measures)
+        return summary(lambda c, p: F.percentile_approx(_cell(c), p, 10_000))
     if numbers.count() <= single_task_rows:
-        measures |= quartiles(F.percentile) | last
-        return _per_column(numbers, columns, measures)
-
+        return summary(lambda c, p: F.percentile(_cell(c), p))
     exact = _exact_quantiles(numbers, columns, list(QUARTILES.values()))
-
-    def literal(p: float):
-        return lambda c: F.first(F.lit(exact[c][p]).cast("double"))
-
-    measures |= {
-        name: lambda c, p=p: F.round(literal(p)(c), 2) for name, p in QUARTILES.items()
-    } | last
-    return _per_column(numbers, columns, measures)
+    return summary(lambda c, p: F.lit(exact[c][p]).cast("double"))
 
 
 def _exact_quantiles(

@@ -85,11 +85,13 @@ def run_pipeline(
         return marts.dim_customers(stats)
 
     _side_by_side(
+        spark,
         publish("fct_orders", lambda: marts.fct_orders(enriched)),
         publish("mart_funnel", lambda: marts.mart_funnel(funnel)),
     )
     fct = warehouse.read_mart("fct_orders")
     _side_by_side(
+        spark,
         publish("dim_customers", customers),
         publish("mart_cohort_retention", lambda: marts.mart_cohort_retention(fct)),
         publish(
@@ -100,9 +102,10 @@ def run_pipeline(
     return Build(sources, views, warehouse)
 
 
-def _side_by_side(*actions: Callable[[], None]) -> None:
+def _side_by_side(spark: SparkSession, *actions: Callable[[], None]) -> None:
     """Run independent writes from driver threads; the first failure is raised."""
     with ThreadPool(len(actions)) as pool:
-        pending = [pool.apply_async(inheritable_thread_target(action)) for action in actions]
+        in_thread = inheritable_thread_target(spark)
+        pending = [pool.apply_async(in_thread(action)) for action in actions]
         for result in pending:
             result.get()
