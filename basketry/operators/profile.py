@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
 from basketry.functions.columns import denoised, percent, without_nan
-from basketry.operators.ranking import SINGLE_TASK_ROWS, order_statistics
+from basketry.operators.ranking import SINGLE_TASK_ROWS, extremes, order_statistics
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
@@ -132,30 +132,34 @@ def describe(
 def _exact_quantiles(
     numbers: DataFrame, columns: Sequence[str], shares: Sequence[float]
 ) -> dict[str, dict[float, float | None]]:
-    aliased = numbers.select(*[_cell(c).alias(f"n{i}") for i, c in enumerate(columns)])
-    counts = aliased.agg(*[F.count(c).alias(c) for c in aliased.columns]).first()
-    ranks: dict[str, list[int]] = {}
-    for name in aliased.columns:
-        places = [share * (counts[name] - 1) for share in shares]
-        ranks[name] = (
-            sorted({int(p) for p in places} | {min(int(p) + 1, counts[name] - 1) for p in places})
-            if counts[name]
-            else []
-        )
-    values = order_statistics(aliased, ranks)
-    result: dict[str, dict[float, float | None]] = {}
-    for name, column in zip(aliased.columns, columns):
-        result[column] = {}
-        for share in shares:
-            if not counts[name]:
-                result[column][share] = None
-                continue
-            place = share * (counts[name] - 1)
-            low = int(place)
-            here = values[name][low][0]
-            following = values[name][min(low + 1, counts[name] - 1)][0]
-            result[column][share] = here + (following - here) * (place - low)
-    return result
+    """Linearly interpolated quantiles of double columns."""
+    plain = numbers.select(*[_cell(c).alias(f"n{i}") for i, c in enumerate(columns)])
+    facts = plain.agg(*extremes(plain.columns)).first()
+    last = {name: facts[name].present - 1 for name in plain.columns}
+
+    def neighbours(name: str, share: float) -> tuple[int, int, float]:
+        place = share * last[name]
+        low = int(place)
+        return low, min(low + 1, last[name]), place - low
+
+    filled = [name for name in plain.columns if last[name] >= 0]
+    ranks = {
+        name: sorted({rank for share in shares for rank in neighbours(name, share)[:2]})
+        for name in filled
+    }
+    values = order_statistics(plain, ranks, facts.asDict())
+
+    def quantile(name: str, share: float) -> float | None:
+        if name not in ranks:
+            return None
+        low, high, beyond = neighbours(name, share)
+        start, end = values[name][low][0], values[name][high][0]
+        return start if start == end else start + (end - start) * beyond
+
+    return {
+        column: {share: quantile(name, share) for share in shares}
+        for name, column in zip(plain.columns, columns)
+    }
 
 
 # ---------------------------------------------------------------- series

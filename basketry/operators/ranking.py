@@ -11,17 +11,22 @@ a value shared by any number of rows costs nothing extra.
 
 from __future__ import annotations
 
+import math
 import os
-from collections.abc import Sequence
+import sys
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.columns import without_nan
+
 # Up to this many rows a plain one-task window is cheaper than the counting rounds.
 SINGLE_TASK_ROWS = 100_000
 NUMBER_BUCKETS = 2048
 TIE_STEP = 3  # characters resolved per round
+LARGEST = sys.float_info.max
 
 
 # ------------------------------------------------------ order statistics
@@ -50,87 +55,96 @@ class _Span:
         return F.when(value.between(low, high), fields)
 
 
+def _histogram(df: DataFrame, entries: Sequence[Column], *measures: Column) -> DataFrame:
+    """Rows per span and bucket; each row enters the spans whose entry is not NULL."""
+    placed = df.select(F.inline(F.array_compact(F.array(*entries))))
+    return placed.groupBy("span", "bucket").agg(F.count("*").alias("rows"), *measures)
+
+
 def _pick_buckets(histogram: DataFrame, wanted: list[tuple[int, int]]) -> list:
     """The bucket of each (span, rank within the span), with the rows before it.
 
-    A histogram has few rows per span, so its running total is cheap.
+    A histogram has a bounded number of buckets per span, so its running total is cheap.
     """
-    spark = histogram.sparkSession
-    targets = spark.createDataFrame(wanted, "span int, target long")
+    targets = histogram.sparkSession.createDataFrame(wanted, "span int, target long")
     order = Window.partitionBy("span").orderBy("bucket")
     running = histogram.withColumn("upto", F.sum("rows").over(order)).withColumn(
         "before", F.col("upto") - F.col("rows")
     )
     hit = (F.col("target") >= F.col("before")) & (F.col("target") < F.col("upto"))
+    # A handful of targets.
     return running.join(F.broadcast(targets), "span").where(hit).collect()
 
 
+def _finite(name: str) -> Column:
+    """Infinities moved to the largest doubles, so that intervals have a width."""
+    return F.greatest(F.least(F.col(name), F.lit(LARGEST)), F.lit(-LARGEST))
+
+
+def _original(value: float) -> float:
+    return math.copysign(math.inf, value) if abs(value) == LARGEST else value
+
+
+def extremes(columns: Sequence[str]) -> list[Column]:
+    """Aggregates naming the non-NULL rows and the range of each column."""
+    return [
+        F.struct(
+            F.count(c).alias("present"), F.min(_finite(c)).alias("low"), F.max(_finite(c)).alias("high")
+        ).alias(c)
+        for c in columns
+    ]
+
+
 def order_statistics(
-    df: DataFrame, ranks: dict[str, Sequence[int]]
+    df: DataFrame, ranks: Mapping[str, Sequence[int]], ranges: Mapping[str, Row]
 ) -> dict[str, dict[int, tuple[float, int]]]:
     """Exact values at 0-based ascending ranks of double columns.
 
-    NULLs are ignored; values must be finite. The answer maps
-    ``column -> rank -> (value, rows with a smaller value)``.
+    NULLs are ignored; NaN must have been turned into NULL. ``ranges`` comes from
+    ``extremes``. The answer maps ``column -> rank -> (value, rows with a smaller value)``.
     """
     found: dict[str, dict[int, tuple[float, int]]] = {column: {} for column in ranks}
     columns = [column for column, wanted in ranks.items() if wanted]
-    if not columns:
-        return found
-    narrow = df.select(*columns)
-    bounds = narrow.agg(
-        *[f(c).alias(f"{name}_{i}") for i, c in enumerate(columns)
-          for name, f in (("low", F.min), ("high", F.max))]
-    ).first()
+    narrow = df.select(*[_finite(c).alias(c) for c in columns])
     spans = [
-        _Span(c, bounds[f"low_{i}"], bounds[f"high_{i}"], 0, tuple(sorted(set(ranks[c]))))
-        for i, c in enumerate(columns)
+        _Span(c, ranges[c].low, ranges[c].high, 0, tuple(sorted(set(ranks[c])))) for c in columns
     ]
     while spans:
-        open_spans = []
         for span in spans:
             if span.low == span.high:
-                found[span.column].update({r: (span.low, span.below) for r in span.ranks})
-            else:
-                open_spans.append(span)
-        if not open_spans:
+                found[span.column].update({r: (_original(span.low), span.below) for r in span.ranks})
+        spans = [span for span in spans if span.low < span.high]
+        if not spans:
             break
-        entries = F.array_compact(F.array(*[s.entry(i) for i, s in enumerate(open_spans)]))
-        histogram = (
-            narrow.select(F.inline(entries))
-            .groupBy("span", "bucket")
-            .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+        histogram = _histogram(
+            narrow,
+            [span.entry(i) for i, span in enumerate(spans)],
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
         )
-        wanted = [(i, r - s.below) for i, s in enumerate(open_spans) for r in s.ranks]
+        wanted = [(i, rank - span.below) for i, span in enumerate(spans) for rank in span.ranks]
         narrower: dict[tuple, list[int]] = {}
         for hit in _pick_buckets(histogram, wanted):
-            parent = open_spans[hit.span]
+            parent = spans[hit.span]
             key = (parent.column, hit.low, hit.high, parent.below + hit.before)
             narrower.setdefault(key, []).append(parent.below + hit.target)
-        spans = [_Span(*key, tuple(sorted(wanted))) for key, wanted in narrower.items()]
+        spans = [_Span(*key, tuple(sorted(inside))) for key, inside in narrower.items()]
     return found
 
 
 def _ties_at(
-    df: DataFrame, tie: str, places: list[tuple[Column, int]]
+    df: DataFrame, tie: str, common: str, places: Sequence[tuple[Column, int]]
 ) -> list[str]:
     """Exact value of a text column at a rank among the rows matching a condition.
 
     Works along the text, a few characters per round: rows sharing the known start
-    are counted by their next characters.
+    are counted by their next characters. All values start with ``common``.
     """
-    bounds = df.agg(
-        *[f(F.when(where, F.col(tie))).alias(f"{name}_{i}") for i, (where, _) in enumerate(places)
-          for name, f in (("low", F.min), ("high", F.max))]
-    ).first()
     found: dict[int, str] = {}
     # place -> (start shared by the remaining rows, rank among them)
-    open_places = {
-        i: (os.path.commonprefix([bounds[f"low_{i}"], bounds[f"high_{i}"]]), rank)
-        for i, (_, rank) in enumerate(places)
-    }
-    while open_places:
-        entries = F.array_compact(F.array(*[
+    unsettled = {i: (common, rank) for i, (_, rank) in enumerate(places)}
+    while unsettled:
+        entries = [
             F.when(
                 places[i][0] & F.startswith(F.col(tie), F.lit(start)),
                 F.struct(
@@ -138,19 +152,17 @@ def _ties_at(
                     F.substring(tie, len(start) + 1, TIE_STEP).alias("bucket"),
                 ),
             )
-            for i, (start, _) in open_places.items()
-        ]))
-        histogram = (
-            df.select(F.inline(entries)).groupBy("span", "bucket").agg(F.count("*").alias("rows"))
-        )
-        still_open = {}
-        for hit in _pick_buckets(histogram, [(i, r) for i, (_, r) in open_places.items()]):
-            start = open_places[hit.span][0] + hit.bucket
+            for i, (start, _) in unsettled.items()
+        ]
+        wanted = [(i, rank) for i, (_, rank) in unsettled.items()]
+        still_unsettled = {}
+        for hit in _pick_buckets(_histogram(df, entries), wanted):
+            start = unsettled[hit.span][0] + hit.bucket
             if len(hit.bucket) < TIE_STEP:
                 found[hit.span] = start
             else:
-                still_open[hit.span] = (start, hit.target - hit.before)
-        open_places = still_open
+                still_unsettled[hit.span] = (start, hit.target - hit.before)
+        unsettled = still_unsettled
     return [found[i] for i in range(len(places))]
 
 
@@ -159,17 +171,45 @@ def _ties_at(
 
 @dataclass(frozen=True)
 class Score:
-    """A tile number to add: ascending by a numeric key, NULLs at one end."""
+    """A tile number to add: ascending by a numeric key, missing keys at one end."""
 
     name: str
     key: Column
     nulls_last: bool = False
 
+    @property
+    def number(self) -> Column:
+        return without_nan(self.key.cast("double"))
+
+
+@dataclass(frozen=True)
+class _Cut:
+    """The first row of a tile: its key (None in the missing end) and its rank there."""
+
+    score: Score
+    column: str
+    value: float | None
+    offset: int  # rank among the rows sharing the key
+
+    def sharing(self, key: Column) -> Column:
+        return key.eqNullSafe(F.lit(self.value).cast("double"))
+
+    def reached(self, tie: Column, tie_value: str | None) -> Column:
+        """Whether a row comes at or after this cut."""
+        key = self.score.number
+        if self.value is None:
+            later = F.lit(False) if self.score.nulls_last else key.isNotNull()
+        else:
+            later = F.coalesce(key > self.value, F.lit(self.score.nulls_last))
+        same = self.sharing(key)
+        return later | (same if tie_value is None else same & (tie >= tie_value))
+
 
 def tile_starts(rows: int, tiles: int) -> list[int]:
     """0-based ranks at which tiles 2..k begin: sizes differ by at most one, larger first."""
     size, larger = divmod(rows, tiles)
-    return [i * size + min(i, larger) for i in range(1, tiles)]
+    starts = [i * size + min(i, larger) for i in range(1, tiles)]
+    return [start for start in starts if start < rows]
 
 
 def global_ntile(
@@ -183,65 +223,68 @@ def global_ntile(
 
     ``df`` is read several times: pass a stored table, not an expensive plan.
     """
-    rows = df.count()
-    if rows <= single_task_rows:
-        return df.select("*", *[_window_tile(s, tie, tiles).alias(s.name) for s in scores])
-
-    keys = {s.name: f"__key_{i}" for i, s in enumerate(scores)}
+    # A leading mark makes a missing tie value sort before any other.
+    tie_text = F.coalesce(F.concat(F.lit("1"), F.col(tie)), F.lit("0"))
+    columns = {s.name: f"key_{i}" for i, s in enumerate(scores)}
     keyed = df.select(
-        # Presence first, so that a missing tie value sorts before any other.
-        F.coalesce(F.concat(F.lit("1"), F.col(tie)), F.lit("0")).alias("__tie"),
-        *[s.key.cast("double").alias(keys[s.name]) for s in scores],
+        tie_text.alias("tie"), *[s.number.alias(columns[s.name]) for s in scores]
     )
-    present = keyed.agg(*[F.count(k).alias(k) for k in keys.values()]).first()
-    starts = [start for start in tile_starts(rows, tiles) if start < rows]
+    facts = keyed.agg(
+        F.count("*").alias("rows"),
+        F.min("tie").alias("tie_low"),
+        F.max("tie").alias("tie_high"),
+        *extremes(list(columns.values())),
+    ).first()
+    if facts["rows"] <= single_task_rows:
+        return df.select("*", *[_window_tile(s, tie, tiles).alias(s.name) for s in scores])
 
-    ranks: dict[str, list[int]] = {}
-    for score in scores:
-        key = keys[score.name]
-        shift = 0 if score.nulls_last else rows - present[key]
-        ranks[key] = [r - shift for r in starts if 0 <= r - shift < present[key]]
-    values = order_statistics(keyed, ranks)
-
-    # One entry per cut: the key value there (None for the NULL end) and the rank
-    # of the cut among the rows sharing it.
-    cuts: list[tuple[Score, float | None, int]] = []
+    cuts = _find_cuts(keyed, scores, columns, facts, tile_starts(facts["rows"], tiles))
+    # A cut at the first of the rows sharing its key needs no tie value.
+    inner = [cut for cut in cuts if cut.offset > 0]
+    ties = _ties_at(
+        keyed,
+        "tie",
+        os.path.commonprefix([facts["tie_low"], facts["tie_high"]]),
+        [(cut.sharing(F.col(cut.column)), cut.offset) for cut in inner],
+    )
+    next_tie = iter(ties)
+
+    tile = {s.name: F.lit(1).cast("long") for s in scores}
+    for cut in cuts:
+        reached = cut.reached(tie_text, next(next_tie) if cut.offset > 0 else None)
+        tile[cut.score.name] = tile[cut.score.name] + reached.cast("long")
+    return df.select("*", *[number.alias(name) for name, number in tile.items()])
+
+
+def _find_cuts(
+    keyed: DataFrame, scores: Sequence[Score], columns: dict[str, str], facts: Row, starts: list[int]
+) -> list[_Cut]:
+    # Ranks among the present keys; the missing ones fill one end.
+    present = {c: facts[c].present for c in columns.values()}
+    shift = {
+        columns[s.name]: 0 if s.nulls_last else facts["rows"] - present[columns[s.name]]
+        for s in scores
+    }
+    ranks = {
+        c: [start - shift[c] for start in starts if 0 <= start - shift[c] < present[c]]
+        for c in columns.values()
+    }
+    values = order_statistics(keyed, ranks, facts.asDict())
+    cuts = []
     for score in scores:
-        key = keys[score.name]
-        missing = rows - present[key]
-        shift = 0 if score.nulls_last else missing
+        column = columns[score.name]
         for start in starts:
-            rank = start - shift
-            if rank in values[key]:
-                value, below = values[key][rank]
-                cuts.append((score, value, rank - below))
+            rank = start - shift[column]
+            if rank in values[column]:
+                value, below = values[column][rank]
+                cuts.append(_Cut(score, column, value, rank - below))
             else:
-                cuts.append((score, None, start - present[key] if score.nulls_last else start))
-
-    # A cut at the first of the rows sharing its value needs no tie value.
-    inner = [i for i, (_, _, offset) in enumerate(cuts) if offset > 0]
-    ties = _ties_at(
-        keyed,
-        "__tie",
-        [(F.col(keys[cuts[i][0].name]).eqNullSafe(F.lit(cuts[i][1])), cuts[i][2]) for i in inner],
-    ) if inner else []
-    tie_at = dict(zip(inner, ties))
-
-    tie_now = F.coalesce(F.concat(F.lit("1"), F.col(tie)), F.lit("0"))
-    tile = {s.name: F.lit(1) for s in scores}
-    for i, (score, value, _) in enumerate(cuts):
-        key = score.key.cast("double")
-        same = key.eqNullSafe(F.lit(value))
-        if value is None:
-            later = F.lit(False) if score.nulls_last else key.isNotNull()
-        else:
-            later = F.coalesce(key > value, F.lit(score.nulls_last))
-        from_cut_on = later | (same & (tie_now >= tie_at[i]) if i in tie_at else same)
-        tile[score.name] = tile[score.name] + from_cut_on.cast("int")
-    return df.select("*", *[expr.cast("long").alias(name) for name, expr in tile.items()])
+                missing_from = present[column] if score.nulls_last else 0
+                cuts.append(_Cut(score, column, None, start - missing_from))
+    return cuts
 
 
 def _window_tile(score: Score, tie: str, tiles: int) -> Column:
-    key = score.key.cast("double")
+    key = score.number
     first = key.asc_nulls_last() if score.nulls_last else key.asc_nulls_first()
     return F.ntile(tiles).over(Window.orderBy(first, F.col(tie).asc_nulls_first())).cast("long")
