@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
-from basketry.functions.columns import denoised, percent, without_nan
+from basketry.functions.columns import percent, without_nan
 from basketry.operators.ranking import SINGLE_TASK_ROWS, extremes, order_statistics
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
@@ -105,8 +105,7 @@ def describe(
         raise ValueError("no numeric column to describe")
     numbers = df.select(*[_number(df, c).alias(c) for c in columns])
     def to_places(value: Column) -> Column:
-        # Half-even at two places, on values freed of float noise.
-        return F.bround(denoised(value), 2)
+        return F.bround(value, 2)
 
     def summary(quartile: Callable[[str, float], Column]) -> DataFrame:
         measures = {

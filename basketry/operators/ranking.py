@@ -45,9 +45,11 @@ class _Span:
     def entry(self, index: int) -> Column:
         """(span, bucket, value) for a row inside the interval, else NULL."""
         value, low, high = F.col(self.column), self.low, self.high
-        # Halves keep the width finite for any pair of doubles; each step is
-        # monotonic in the value, so buckets are in value order.
-        place = (value / 2 - low / 2) / (high / 2 - low / 2) * NUMBER_BUCKETS
+        # Half the scale where the width of the interval is no finite double. Every
+        # step is monotonic in the value, so buckets are in value order.
+        scale = 1.0 if math.isfinite(high - low) else 0.5
+        width = high * scale - low * scale
+        place = (value * scale - low * scale) / width * NUMBER_BUCKETS
         bucket = F.least(F.floor(place), F.lit(NUMBER_BUCKETS - 1))
         fields = F.struct(
             F.lit(index).alias("span"), bucket.alias("bucket"), value.alias("value")
@@ -57,7 +59,7 @@ class _Span:
 
 def _histogram(df: DataFrame, entries: Sequence[Column], *measures: Column) -> DataFrame:
     """Rows per span and bucket; each row enters the spans whose entry is not NULL."""
-    placed = df.select(F.inline(F.array_compact(F.array(*entries))))
+    placed = df.select(F.inline(F.array(*entries))).where(F.col("span").isNotNull())
     return placed.groupBy("span", "bucket").agg(F.count("*").alias("rows"), *measures)
 
 
@@ -66,14 +68,20 @@ def _pick_buckets(histogram: DataFrame, wanted: list[tuple[int, int]]) -> list:
 
     A histogram has a bounded number of buckets per span, so its running total is cheap.
     """
-    targets = histogram.sparkSession.createDataFrame(wanted, "span int, target long")
-    order = Window.partitionBy("span").orderBy("bucket")
-    running = histogram.withColumn("upto", F.sum("rows").over(order)).withColumn(
-        "before", F.col("upto") - F.col("rows")
+    targets: dict[int, list[int]] = {}
+    for span, target in wanted:
+        targets.setdefault(span, []).append(target)
+    of_span = F.element_at(
+        F.array(*[F.array(*[F.lit(t).cast("long") for t in targets[i]]) for i in sorted(targets)]),
+        F.col("span") + 1,
+    )
+    upto = F.sum("rows").over(Window.partitionBy("span").orderBy("bucket"))
+    running = histogram.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("rows"))
+    inside = F.filter(
+        of_span, lambda target: (target >= F.col("before")) & (target < F.col("upto"))
     )
-    hit = (F.col("target") >= F.col("before")) & (F.col("target") < F.col("upto"))
     # A handful of targets.
-    return running.join(F.broadcast(targets), "span").where(hit).collect()
+    return running.withColumn("target", F.explode(inside)).collect()
 
 
 def _finite(name: str) -> Column:
@@ -141,28 +149,30 @@ def _ties_at(
     are counted by their next characters. All values start with ``common``.
     """
     found: dict[int, str] = {}
-    # place -> (start shared by the remaining rows, rank among them)
-    unsettled = {i: (common, rank) for i, (_, rank) in enumerate(places)}
+    # (place, start shared by the remaining rows, rank among them)
+    unsettled = [(i, common, rank) for i, (_, rank) in enumerate(places)]
     while unsettled:
         entries = [
             F.when(
-                places[i][0] & F.startswith(F.col(tie), F.lit(start)),
+                places[place][0] & F.startswith(F.col(tie), F.lit(start)),
                 F.struct(
-                    F.lit(i).alias("span"),
+                    F.lit(span).alias("span"),
                     F.substring(tie, len(start) + 1, TIE_STEP).alias("bucket"),
                 ),
             )
-            for i, (start, _) in unsettled.items()
+            for span, (place, start, _) in enumerate(unsettled)
+        ]
+        wanted = [(span, rank) for span, (_, _, rank) in enumerate(unsettled)]
+        hits = _pick_buckets(_histogram(df, entries), wanted)
+        longer = [
+            (unsettled[hit.span][0], unsettled[hit.span][1] + hit.bucket, hit) for hit in hits
+        ]
+        found |= {place: text for place, text, hit in longer if len(hit.bucket) < TIE_STEP}
+        unsettled = [
+            (place, text, hit.target - hit.before)
+            for place, text, hit in longer
+            if len(hit.bucket) == TIE_STEP
         ]
-        wanted = [(i, rank) for i, (_, rank) in unsettled.items()]
-        still_unsettled = {}
-        for hit in _pick_buckets(_histogram(df, entries), wanted):
-            start = unsettled[hit.span][0] + hit.bucket
-            if len(hit.bucket) < TIE_STEP:
-                found[hit.span] = start
-            else:
-                still_unsettled[hit.span] = (start, hit.target - hit.before)
-        unsettled = still_unsettled
     return [found[i] for i in range(len(places))]
 
 

@@ -1,0 +1,114 @@
+"""The batch build, the sinks, and invariants of what it publishes."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.operators import kpis
+from basketry.plans.build import run_pipeline
+from basketry.plans.scratch import materialize, scratch_dir
+from basketry.schemas import SOURCE_SCHEMAS
+from basketry.sources.readers import read_source, register_declared
+from basketry.sources.sample_tables import sample_source
+from basketry.sources.warehouse import Warehouse, layer_name, publish_view
+from tests.conftest import SMALL
+
+
+@pytest.fixture(scope="module")
+def build(spark, tmp_path_factory):
+    """Sources stored in their own schema, then built from the folder."""
+    folder = tmp_path_factory.mktemp("sources")
+    for name in SOURCE_SCHEMAS:
+        sample_source(spark, SMALL, name).write.parquet(f"{folder}/{name}.parquet")
+    return run_pipeline(spark, str(folder), str(tmp_path_factory.mktemp("marts")))
+
+
+def test_all_marts_and_views(spark, build):
+    for name in ("fct_orders", "dim_customers", "mart_cohort_retention", "mart_product_performance",
+                 "mart_funnel"):
+        assert build.mart(name).count() > 0, name
+    assert spark.table("staging_stg_orders").count() == build.mart("fct_orders").count()
+    assert spark.table("intermediate_int_customer_stats").count() == build.mart("dim_customers").count()
+    assert len(build.mart("fct_orders").columns) == 23
+    assert len(build.mart("dim_customers").columns) == 17
+    assert build.warehouse.marts_ready()
+
+
+def test_only_known_checks_fail(build):
+    """The smallest sample has no faulty key; every check passes."""
+    results = build.run_checks().collect()
+    assert len(results) == 23
+    assert all(r.failures == 0 for r in results)
+
+
+def test_invariants(build):
+    fct, dim = build.mart("fct_orders"), build.mart("dim_customers")
+    assert fct.where("abs(gross_revenue - returned_revenue - net_revenue) > 1e-9").isEmpty()
+    assert fct.where("abs(gross_revenue - total_cost - gross_profit) > 1e-9").isEmpty()
+    assert fct.groupBy("order_value_tier").count().agg(F.sum("count")).first()[0] == fct.count()
+    retention = build.mart("mart_cohort_retention")
+    assert retention.where("months_since_first = 0 AND retention_pct <> 100").isEmpty()
+    assert retention.where("active_users > cohort_size").isEmpty()
+    for score in ("r_score", "f_score", "m_score"):
+        sizes = [r["count"] for r in dim.groupBy(score).count().collect()]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    totals = kpis.funnel_totals(build.mart("mart_funnel")).first()
+    sessions = spark_sessions(build)
+    assert totals.total_sessions == sessions
+    spent = dim.agg(F.sum("monetary")).first()[0]
+    net = fct.where("order_status = 'Complete'").agg(F.sum("net_revenue")).first()[0]
+    assert spent == pytest.approx(net)
+
+
+def spark_sessions(build) -> int:
+    return build.views["stg_events"].agg(F.count_distinct("session_id")).first()[0]
+
+
+def test_refresh_replaces(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert not warehouse.marts_ready()
+    warehouse.publish_table(spark.range(5), "marts", "fct_orders")
+    assert warehouse.marts_ready()
+    warehouse.publish_table(spark.range(0), "marts", "fct_orders")
+    assert not warehouse.marts_ready()
+
+
+def test_catalog_tables(spark):
+    warehouse = Warehouse(spark)
+    layer = layer_name(" basketry_test_marts ", "analytics")
+    try:
+        for rows in (4, 2):
+            warehouse.publish_table(spark.range(rows), layer, "numbers")
+            assert warehouse.read_table(layer, "numbers").count() == rows
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+
+
+def test_layer_names():
+    assert layer_name(None, "analytics") == "analytics"
+    assert layer_name(" marts ", "analytics") == "marts"
+
+
+def test_view(spark):
+    view = publish_view(spark.range(3), "staging", "things")
+    assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == 3
+
+
+def test_declared_tables_are_optional(spark, tmp_path):
+    assert register_declared(spark, str(tmp_path)) == []
+    spark.range(2).write.parquet(f"{tmp_path}/inventory_items.parquet")
+    assert register_declared(spark, str(tmp_path)) == ["inventory_items"]
+    assert spark.table("inventory_items").count() == 2
+
+
+def test_source_scan_has_fixed_types(spark, tmp_path):
+    sample_source(spark, SMALL, "orders").write.parquet(f"{tmp_path}/orders.parquet")
+    assert read_source(spark, str(tmp_path), "orders").schema == SOURCE_SCHEMAS["orders"]
+
+
+def test_scratch_results_are_stored_in_the_shared_folder(spark):
+    stored = materialize(spark.range(3).withColumnRenamed("id", "n"), "numbers")
+    assert stored.count() == 3
+    (file, *_) = stored.inputFiles()
+    assert scratch_dir(spark).removeprefix("file:") in file
