@@ -42,39 +42,65 @@ class _Span:
     below: int  # rows with a value under ``low``
     ranks: tuple[int, ...]
 
-    def entry(self, index: int) -> Column:
-        """(span, bucket, value) for a row inside the interval, else NULL."""
-        value, low, high = F.col(self.column), self.low, self.high
-        # Half the scale where the width of the interval is no finite double. Every
-        # step is monotonic in the value, so buckets are in value order.
-        scale = 1.0 if math.isfinite(high - low) else 0.5
-        width = high * scale - low * scale
-        place = (value * scale - low * scale) / width * NUMBER_BUCKETS
-        bucket = F.least(F.floor(place), F.lit(NUMBER_BUCKETS - 1))
-        fields = F.struct(
-            F.lit(index).alias("span"), bucket.alias("bucket"), value.alias("value")
-        )
-        return F.when(value.between(low, high), fields)
+    def holds(self) -> Column:
+        return F.col(self.column).between(self.low, self.high)
+
+    def bucket(self) -> Column:
+        """Place of a value on an even grid over the interval, in value order.
+
+        Every step is monotonic. Half the scale where the width is no finite double.
+        """
+        scale = 1.0 if math.isfinite(self.high - self.low) else 0.5
+        start, width = self.low * scale, self.high * scale - self.low * scale
+        place = (F.col(self.column) * scale - start) / width * NUMBER_BUCKETS
+        return F.least(F.floor(place), F.lit(NUMBER_BUCKETS - 1))
+
+
+@dataclass(frozen=True)
+class _Prefix:
+    """Rows sharing a key and the start of their tie text, holding some wanted ranks."""
 
+    column: str
+    key: float | None
+    start: str
+    below: int  # rows with this key and a smaller tie text
+    ranks: tuple[int, ...]
+
+    def holds(self) -> Column:
+        same = F.col(self.column).eqNullSafe(F.lit(self.key).cast("double"))
+        return same & F.startswith(F.col("tie"), F.lit(self.start))
 
-def _histogram(df: DataFrame, entries: Sequence[Column], *measures: Column) -> DataFrame:
-    """Rows per span and bucket; each row enters the spans whose entry is not NULL."""
-    placed = df.select(F.inline(F.array(*entries))).where(F.col("span").isNotNull())
+    def bucket(self) -> Column:
+        return F.substring("tie", len(self.start) + 1, TIE_STEP)
+
+
+def _histogram(
+    df: DataFrame, spans: Sequence[_Span | _Prefix], value: bool, *measures: Column
+) -> DataFrame:
+    """Rows per span and bucket.
+
+    The spans of one column are disjoint, so a row enters at most one of them.
+    """
+    entries: dict[str, Column] = {}
+    for index, span in enumerate(spans):
+        fields = [F.lit(index).alias("span"), span.bucket().alias("bucket")]
+        if value:
+            fields.append(F.col(span.column).alias("value"))
+        chain = entries.get(span.column, F)
+        entries[span.column] = chain.when(span.holds(), F.struct(*fields))
+    placed = df.select(F.inline(F.array(*entries.values()))).where(F.col("span").isNotNull())
     return placed.groupBy("span", "bucket").agg(F.count("*").alias("rows"), *measures)
 
 
-def _pick_buckets(histogram: DataFrame, wanted: list[tuple[int, int]]) -> list:
-    """The bucket of each (span, rank within the span), with the rows before it.
+def _pick_buckets(histogram: DataFrame, spans: Sequence[_Span | _Prefix]) -> list[Row]:
+    """The bucket of each wanted rank, with the rows of its span before it.
 
     A histogram has a bounded number of buckets per span, so its running total is cheap.
     """
-    targets: dict[int, list[int]] = {}
-    for span, target in wanted:
-        targets.setdefault(span, []).append(target)
-    of_span = F.element_at(
-        F.array(*[F.array(*[F.lit(t).cast("long") for t in targets[i]]) for i in sorted(targets)]),
-        F.col("span") + 1,
-    )
+    wanted = [
+        F.array(*[F.lit(rank - span.below).cast("long") for rank in span.ranks]) for span in spans
+    ]
+    of_span = F.element_at(F.array(*wanted), F.col("span") + 1)
     upto = F.sum("rows").over(Window.partitionBy("span").orderBy("bucket"))
     running = histogram.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("rows"))
     inside = F.filter(
@@ -125,14 +151,10 @@ def order_statistics(
         if not spans:
             break
         histogram = _histogram(
-            narrow,
-            [span.entry(i) for i, span in enumerate(spans)],
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
+            narrow, spans, True, F.min("value").alias("low"), F.max("value").alias("high")
         )
-        wanted = [(i, rank - span.below) for i, span in enumerate(spans) for rank in span.ranks]
         narrower: dict[tuple, list[int]] = {}
-        for hit in _pick_buckets(histogram, wanted):
+        for hit in _pick_buckets(histogram, spans):
             parent = spans[hit.span]
             key = (parent.column, hit.low, hit.high, parent.below + hit.before)
             narrower.setdefault(key, []).append(parent.below + hit.target)
@@ -140,40 +162,28 @@ def order_statistics(
     return found
 
 
-def _ties_at(
-    df: DataFrame, tie: str, common: str, places: Sequence[tuple[Column, int]]
-) -> list[str]:
-    """Exact value of a text column at a rank among the rows matching a condition.
+def _tie_texts(
+    keyed: DataFrame, common: str, ranks: Mapping[tuple[str, float | None], Sequence[int]]
+) -> dict[tuple[str, float | None, int], str]:
+    """Exact tie texts at ranks among the rows sharing a (column, key).
 
     Works along the text, a few characters per round: rows sharing the known start
-    are counted by their next characters. All values start with ``common``.
+    are counted by their next characters. All texts start with ``common``.
     """
-    found: dict[int, str] = {}
-    # (place, start shared by the remaining rows, rank among them)
-    unsettled = [(i, common, rank) for i, (_, rank) in enumerate(places)]
-    while unsettled:
-        entries = [
-            F.when(
-                places[place][0] & F.startswith(F.col(tie), F.lit(start)),
-                F.struct(
-                    F.lit(span).alias("span"),
-                    F.substring(tie, len(start) + 1, TIE_STEP).alias("bucket"),
-                ),
-            )
-            for span, (place, start, _) in enumerate(unsettled)
-        ]
-        wanted = [(span, rank) for span, (_, _, rank) in enumerate(unsettled)]
-        hits = _pick_buckets(_histogram(df, entries), wanted)
-        longer = [
-            (unsettled[hit.span][0], unsettled[hit.span][1] + hit.bucket, hit) for hit in hits
-        ]
-        found |= {place: text for place, text, hit in longer if len(hit.bucket) < TIE_STEP}
-        unsettled = [
-            (place, text, hit.target - hit.before)
-            for place, text, hit in longer
-            if len(hit.bucket) == TIE_STEP
-        ]
-    return [found[i] for i in range(len(places))]
+    found: dict[tuple[str, float | None, int], str] = {}
+    spans = [_Prefix(*place, common, 0, tuple(wanted)) for place, wanted in ranks.items()]
+    while spans:
+        longer: dict[tuple, list[int]] = {}
+        for hit in _pick_buckets(_histogram(keyed, spans, False), spans):
+            parent = spans[hit.span]
+            text, rank = parent.start + hit.bucket, parent.below + hit.target
+            if len(hit.bucket) < TIE_STEP:
+                found[parent.column, parent.key, rank] = text
+            else:
+                key = (parent.column, parent.key, text, parent.below + hit.before)
+                longer.setdefault(key, []).append(rank)
+        spans = [_Prefix(*key, tuple(sorted(inside))) for key, inside in longer.items()]
+    return found
 
 
 # ----------------------------------------------------------------- NTILE
@@ -201,9 +211,6 @@ class _Cut:
     value: float | None
     offset: int  # rank among the rows sharing the key
 
-    def sharing(self, key: Column) -> Column:
-        return key.eqNullSafe(F.lit(self.value).cast("double"))
-
     def reached(self, tie: Column, tie_value: str | None) -> Column:
         """Whether a row comes at or after this cut."""
         key = self.score.number
@@ -211,7 +218,7 @@ class _Cut:
             later = F.lit(False) if self.score.nulls_last else key.isNotNull()
         else:
             later = F.coalesce(key > self.value, F.lit(self.score.nulls_last))
-        same = self.sharing(key)
+        same = key.eqNullSafe(F.lit(self.value).cast("double"))
         return later | (same if tie_value is None else same & (tie >= tie_value))
 
 
@@ -249,19 +256,17 @@ def global_ntile(
         return df.select("*", *[_window_tile(s, tie, tiles).alias(s.name) for s in scores])
 
     cuts = _find_cuts(keyed, scores, columns, facts, tile_starts(facts["rows"], tiles))
-    # A cut at the first of the rows sharing its key needs no tie value.
-    inner = [cut for cut in cuts if cut.offset > 0]
-    ties = _ties_at(
-        keyed,
-        "tie",
-        os.path.commonprefix([facts["tie_low"], facts["tie_high"]]),
-        [(cut.sharing(F.col(cut.column)), cut.offset) for cut in inner],
-    )
-    next_tie = iter(ties)
+    # A cut at the first of the rows sharing its key needs no tie text.
+    inner: dict[tuple[str, float | None], list[int]] = {}
+    for cut in cuts:
+        if cut.offset > 0:
+            inner.setdefault((cut.column, cut.value), []).append(cut.offset)
+    common = os.path.commonprefix([facts["tie_low"], facts["tie_high"]])
+    texts = _tie_texts(keyed, common, inner)
 
     tile = {s.name: F.lit(1).cast("long") for s in scores}
     for cut in cuts:
-        reached = cut.reached(tie_text, next(next_tie) if cut.offset > 0 else None)
+        reached = cut.reached(tie_text, texts.get((cut.column, cut.value, cut.offset)))
         tile[cut.score.name] = tile[cut.score.name] + reached.cast("long")
     return df.select("*", *[number.alias(name) for name, number in tile.items()])
 
