@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Float sums differ in their last bits with the order of addition. Thresholds and
-# rankings look at amounts rounded to this many places, far below a cent.
+# Float sums differ in their last bits with the order of addition. Rankings look at
+# amounts rounded to this many places, far below a cent; thresholds, which are met
+# by every row, allow for half a unit there instead, which costs no rounding.
 NOISE_PLACES = 6
+FLOAT_NOISE = 0.5 * 10**-NOISE_PLACES
 
 
 def as_day(moment: Column) -> Column:

@@ -11,7 +11,8 @@ from basketry.operators import kpis
 
 def executive_metrics(fct: DataFrame, dim: DataFrame) -> DataFrame:
     """(metric, value) for the sales figures and the number of customers."""
-    row = kpis.sales_kpis(fct).crossJoin(dim.agg(F.count("*").alias("total_customers")))
+    customers = dim.agg(F.count("*")).scalar()
+    row = kpis.sales_kpis(fct).withColumn("total_customers", customers)
     pairs = [
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
         for c in row.columns

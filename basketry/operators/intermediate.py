@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import (
+    FLOAT_NOISE,
     count_true,
     days_between,
     denoised,
@@ -80,8 +81,10 @@ def order_totals(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def order_value_tier(gross: Column) -> Column:
-    amount = denoised(gross)
-    return first_match([(amount < ceiling, label) for ceiling, label in TIER_CEILINGS], TOP_TIER)
+    """Tier of an order; an amount short of a ceiling by float noise has reached it."""
+    return first_match(
+        [(gross < ceiling - FLOAT_NOISE, label) for ceiling, label in TIER_CEILINGS], TOP_TIER
+    )
 
 
 def int_orders_enriched(
@@ -181,8 +184,9 @@ def rfm_scores(measures: DataFrame, **limits: int) -> DataFrame:
     return global_ntile(
         measures,
         [
-            # Stalest first; a customer without any date comes last.
-            Score("r_score", -F.col("recency_days"), nulls_last=True),
+            # Descending recency is ascending last order date: stalest first, and a
+            # customer without any date comes last.
+            Score("r_score", F.unix_date("last_order_date"), nulls_last=True),
             Score("f_score", F.col("frequency")),
             Score("m_score", denoised(F.col("monetary"))),
         ],
@@ -197,9 +201,9 @@ def int_customer_stats(orders: DataFrame, **limits: int) -> DataFrame:
 
     The measures are stored once, because scoring reads them several times.
     """
-    measures = with_recency(materialize(customer_measures(orders), "customer_measures"))
+    measures = materialize(customer_measures(orders), "customer_measures")
     scored = rfm_scores(measures, **limits)
-    return scored.withColumn(
+    return with_recency(scored).withColumn(
         "rfm_segment", rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     )
 

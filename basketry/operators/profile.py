@@ -181,21 +181,17 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     Bins without rows are absent. The largest value belongs to the last bin.
     """
     values = df.select(_number(df, column).alias("v")).where("v IS NOT NULL")
-    limits = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    width = (F.col("high") - F.col("low")) / bins
+    low, high = values.agg(F.min("v")).scalar(), values.agg(F.max("v")).scalar()
+    width = (high - low) / bins
     # A constant column has one bin of no width.
-    place = F.coalesce(
-        F.floor((F.col("v") - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(0)
-    )
+    place = F.coalesce(F.floor((F.col("v") - low) / F.nullif(width, F.lit(0.0))), F.lit(0))
     return (
-        # One row of limits.
-        values.crossJoin(F.broadcast(limits))
-        .groupBy("low", "high", F.least(place, F.lit(bins - 1)).cast("long").alias("bin"))
+        values.groupBy(F.least(place, F.lit(bins - 1)).cast("long").alias("bin"))
         .agg(F.count("*").alias("count"))
         .select(
             "bin",
-            (F.col("low") + F.col("bin") * width).alias("bin_start"),
-            (F.col("low") + (F.col("bin") + 1) * width).alias("bin_end"),
+            (low + F.col("bin") * width).alias("bin_start"),
+            (low + (F.col("bin") + 1) * width).alias("bin_end"),
             "count",
         )
         .orderBy("bin")
@@ -211,14 +207,10 @@ def column_anomalies(df: DataFrame, column: str) -> DataFrame:
     A missing value, or a column whose deviation is undefined, is never flagged.
     """
     value = _number(df, column)
-    stats = df.agg(F.avg(value).alias("__mean"), F.stddev_samp(value).alias("__std"))
-    far = F.abs(value - F.col("__mean")) > 2 * F.col("__std")
-    return (
-        # One row of statistics.
-        df.crossJoin(F.broadcast(stats))
-        .withColumn("is_anomaly", F.coalesce(far, F.lit(False)))
-        .drop("__mean", "__std")
-    )
+    # Two scalar subqueries, which Spark answers with one pass over the column.
+    mean, deviation = df.agg(F.avg(value)).scalar(), df.agg(F.stddev_samp(value)).scalar()
+    far = F.abs(value - mean) > 2 * deviation
+    return df.withColumn("is_anomaly", F.coalesce(far, F.lit(False)))
 
 
 def anomaly_summary(df: DataFrame, column: str) -> DataFrame:

@@ -73,7 +73,7 @@ def main(folder: str, chosen: list[str]) -> int:
             print(f"ONLY {name}: {rows.num_rows} rows, no SQL", flush=True)
             continue
         try:
-            expected = connection.execute(oracles[name]).to_arrow_table()
+            expected = connection.sql(oracles[name]).to_arrow_table()
         except Exception as error:  # noqa: BLE001
             print(f"SQL! {name}: {str(error)[:600]}", flush=True)
             bad += 1
