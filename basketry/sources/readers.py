@@ -39,7 +39,9 @@ MISSING_TOKENS = (
 # The spellings of a boolean cell.
 BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
 WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
-ANY_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+ANY_NUMBER = (
+    r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+)
 
 
 def _cell(name: str) -> Column:

@@ -176,6 +176,17 @@ def test_big_and_odd_numbers(spark, tmp_path):
     assert math.isclose(got.first().big, 1e20)
 
 
+def test_infinities_are_numbers(spark, tmp_path):
+    path = tmp_path / "infinite.csv"
+    path.write_text("a,b\ninf,1\n-Infinity,infinite\n+Inf,2\n1.5,3\n")
+    expected = pd.read_csv(path)
+    got = read_csv(spark, str(path))
+    assert [KINDS[expected[f.name].dtype.kind] for f in got.schema] == [
+        f.dataType.simpleString() for f in got.schema
+    ]
+    assert [r.a for r in got.collect()] == expected.a.tolist()
+
+
 def test_line_breaks_in_quotes(spark, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text('a,b\n1,"two\nlines"\n')
