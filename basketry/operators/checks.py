@@ -81,15 +81,22 @@ def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _unique_check(df: DataFrame, check: Check) -> DataFrame:
-    """Values that occur more than once; missing values do not count."""
-    repeated = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
+def _key_checks(df: DataFrame, column: str, checks: Sequence[Check]) -> DataFrame:
+    """Unique and not-null checks of one column, from one count per value.
+
+    Unique fails per value that occurs more than once; missing values do not count
+    there, but are what not-null counts.
+    """
+    missing = F.col(column).isNull()
+    counts = (
+        df.groupBy(column)
         .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("n"))
+        .agg(
+            F.count_if(~missing & (F.col("n") > 1)).alias(UNIQUE),
+            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias(NOT_NULL),
+        )
     )
-    return repeated.select(F.inline(F.array(_labelled(check, F.col("n")))))
+    return counts.select(F.inline(F.array(*[_labelled(c, F.col(c.kind)) for c in checks])))
 
 
 def check_not_null(df: DataFrame, column: str, table: str = "") -> DataFrame:
@@ -97,7 +104,7 @@ def check_not_null(df: DataFrame, column: str, table: str = "") -> DataFrame:
 
 
 def check_unique(df: DataFrame, column: str, table: str = "") -> DataFrame:
-    return _unique_check(df, Check(UNIQUE, table, column))
+    return _key_checks(df, column, [Check(UNIQUE, table, column)])
 
 
 def check_accepted_values(
@@ -108,12 +115,20 @@ def check_accepted_values(
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = ALL_CHECKS) -> DataFrame:
-    """Every check as one result table."""
+    """Every check as one result table.
+
+    Per table, each unique column is counted once, which answers its not-null check
+    too; all other checks share one more pass.
+    """
     parts: list[DataFrame] = []
     for table in dict.fromkeys(c.table for c in checks):
         own = [c for c in checks if c.table == table]
-        by_row = [c for c in own if c.kind != UNIQUE]
+        keys = dict.fromkeys(c.column for c in own if c.kind == UNIQUE)
+        by_key = [c for c in own if c.column in keys and c.kind in (UNIQUE, NOT_NULL)]
+        by_row = [c for c in own if c not in by_key]
         if by_row:
             parts.append(_row_checks(tables[table], by_row))
-        parts += [_unique_check(tables[table], c) for c in own if c.kind == UNIQUE]
+        parts += [
+            _key_checks(tables[table], key, [c for c in by_key if c.column == key]) for key in keys
+        ]
     return reduce(DataFrame.unionByName, parts)

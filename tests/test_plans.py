@@ -97,16 +97,52 @@ def test_hot_missing_user_is_split(spark, hot):
 
 def test_best_seller_is_summed_before_the_join(spark, hot):
     """Items are aggregated before product attributes are joined on."""
-    products = hot["products"].select(
-        "product_id", *[F.lit("v").alias(c) for c in ("product_name", "category", "brand", "department")],
-        "retail_price", "cost", F.lit(1.0).alias("margin_pct"),
-    )
-    plan = plan_of(marts.mart_product_performance(hot["items"], products, hot["orders"]))
+    plan = plan_of(performance(hot, hot["items"]))
     join_to_products = plan.index("Inner")
     assert join_to_products < plan.index("HashAggregate(keys=[product_id")
     assert "LeftSemi" in plan
 
 
+def performance(hot, items):
+    products = hot["products"].select(
+        "product_id",
+        *[F.lit("v").alias(c) for c in ("product_name", "category", "brand", "department")],
+        "retail_price", "cost", F.lit(1.0).alias("margin_pct"),
+    )
+    return marts.mart_product_performance(items, products, hot["orders"])
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan_of(df).split("Initial Plan")[0]
+
+
+def test_items_are_shuffled_once_for_product_performance(spark, hot):
+    """The order filter shuffles the items; counting distinct orders adds nothing."""
+    with settings(spark, **BIG):
+        plan = final_plan(performance(hot, hot["items"]))
+    assert "LeftSemi" in plan and "Exchange hashpartitioning(product_id#" in plan
+    assert not any(
+        "Exchange" in line and "product_id" in line and "order_id" in line
+        for line in plan.splitlines()
+    )
+
+
+def test_hot_order_is_split(spark, hot):
+    """An order with a third of all items; the product sums do not change."""
+    third = F.col("order_item_id").cast("long") % 3 == 0
+    items = materialize(
+        hot["items"].withColumn("order_id", F.when(third, "7").otherwise(F.col("order_id"))),
+        "hot-order",
+    )
+    with settings(spark, **BIG):
+        mart = performance(hot, items)
+        assert "skew=true" in final_plan(mart)
+        units = mart.agg(F.sum("total_units_sold")).first()[0]
+    kept = items.groupBy("product_id").agg(F.count_distinct("order_id").alias("o"), F.count("*").alias("n"))
+    assert units == kept.where("o >= 5").agg(F.sum("n")).first()[0]
+
+
 def test_scan_reads_only_what_a_table_needs(spark, hot):
     monthly = kpis.monthly_revenue(
         materialize(hot["orders"].withColumn("gross_revenue", F.lit(1.0)), "fct")
