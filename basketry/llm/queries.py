@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm import language
 from basketry.llm.line_dedup import line_classes
+from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
 
 
@@ -34,13 +36,31 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return near_documents(documents, words_per_shingle=3, threshold="0.9")
 
 
+def _held_out(of: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = language.train(documents.where(~_held_out(5, 0)).select("doc_id", "text", "lang"))
+    named = language.identify(documents, model)
+    return named.select("doc_id", _held_out(5, 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_mix_sources": op2_mix_sources,
         "op9_shingle_join": op9_shingle_join,
+        "op10_language_id": op10_language_id,
     }
