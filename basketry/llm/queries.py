@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language
+from basketry.llm import html_text, language, pieces, quality
 from basketry.llm.line_dedup import line_classes
 from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -41,6 +44,25 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(~_held_out(4, 2)).select("doc_id", "quality")
+    scores = quality.score(documents, quality.train(documents, labels))
+    return scores.select(
+        "doc_id", _held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    texts = html_text.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode(_table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
+    return encoded.select("doc_id", "piece_ids", "n_pieces", "round_trip")
+
+
 def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return near_documents(documents, words_per_shingle=3, threshold="0.9")
@@ -61,6 +83,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_mix_sources": op2_mix_sources,
+        "op4_quality": op4_quality,
+        "op5_html_text": op5_html_text,
+        "op8_pieces": op8_pieces,
         "op9_shingle_join": op9_shingle_join,
         "op10_language_id": op10_language_id,
     }
