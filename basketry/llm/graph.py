@@ -1,7 +1,7 @@
 """Links between similar items, without all pairs of a group; connected components of links.
 
-Items that share a bucket are candidates. A bucket of n items has n - 1 pairs with its first item
-(its star); those are verified first. Two items that are then connected need no further look,
+Items that share a bucket are candidates. A bucket of n items has n - 1 pairs with its centre
+(its star); those are verified first, and the item is chosen so that many of them hold. Two items that are then connected need no further look,
 whatever their own similarity is, so what remains are pairs of one bucket whose components differ.
 Verifying these too makes the components exactly those of all links between items that share a
 bucket, while a large group of copies costs little more than its star.
@@ -46,36 +46,52 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def shared_buckets(rows: DataFrame) -> DataFrame:
-    """The rows of (bucket, id, ...) whose bucket holds two items at least, with its smallest, ``first``.
+def shared_buckets(rows: DataFrame, cost: Column | None = None) -> DataFrame:
+    """The rows of (bucket, id, ...) whose bucket holds two items at least, with its centre, ``first``.
 
-    One shuffle, on the bucket.
+    The centre is the item of least ``cost``, or the smallest. One shuffle, on the bucket.
     """
     bucket = Window.partitionBy("bucket")
-    marked = rows.withColumns({"first": F.min("id").over(bucket), "last": F.max("id").over(bucket)})
-    return marked.where("first <> last").drop("last")
+    centre = F.min("id") if cost is None else F.min(F.struct(cost.alias("cost"), F.col("id")))
+    marked = rows.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket), "first": centre.over(bucket)})
+    marked = marked.where("low <> high").drop("low", "high")
+    return marked if cost is None else marked.withColumn("first", F.col("first.id"))
+
+
+def most_shared_centres(buckets: DataFrame) -> DataFrame:
+    """``buckets`` (bucket, id, first) with that item as centre that meets the most others over all its buckets.
+
+    An original meets more of its edited copies than they meet each other.
+    """
+    size = buckets.withColumn("met", F.count("*").over(Window.partitionBy("bucket")))
+    weight = size.groupBy("id").agg((-F.sum("met")).alias("cost"))
+    return shared_buckets(buckets.drop("first").join(weight, "id"), F.col("cost")).drop("cost")
 
 
 def linked_components(
-    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], possible: Callable[[Callable, Callable], Column]
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    possible: Callable[[Callable, Callable], Column],
+    describe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Components and verified links of items that share a bucket.
 
-    ``buckets`` comes from :func:`shared_buckets` and has other columns for ``possible``, which
-    tells from the columns of two rows whether they can be similar at all. ``verify`` keeps the
-    similar of the pairs (a, b).
+    ``buckets`` comes from :func:`shared_buckets`. ``verify`` keeps the similar of the pairs (a, b).
+    ``possible`` tells from the columns of two rows whether they can be similar at all; these columns
+    come with ``buckets`` or from ``describe``, which adds them to the items (id) that are still open.
     """
     star = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(verify(star))
     found = components(links)
     bucket = Window.partitionBy("bucket")
-    labelled = buckets.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = (
+    labelled = buckets.where("id <> first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_ = stored(
         labelled.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)})
-        .where("low <> high and id <> first")
+        .where("low <> high")
         .drop("low", "high", "first")
     )
-    open_ = stored(open_)
+    if describe is not None:
+        open_ = stored(open_.join(describe(open_.select("id").distinct()), "id"))
     left, right = open_.alias("l"), open_.alias("r")
     apart = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.id") < F.col("r.id"))
     apart &= F.col("l.component") != F.col("r.component")

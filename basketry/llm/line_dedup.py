@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import utf8
-from basketry.llm.graph import linked_components, shared_buckets
+from basketry.llm.graph import linked_components, most_shared_centres, shared_buckets
 from basketry.llm.storage import stored
 
 _DRAWS = 200  # borrowed bins: so many draws, then the next filled bin to the right
@@ -129,25 +129,59 @@ def _line_texts(batches):
     return _each_line(batches, rows)
 
 
+def _shingle_sets(values: pa.Array, chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, shingle) of an Arrow column of lines, sorted."""
+    lengths = np.array([len(v.as_py()) for v in values], np.int64)
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(b"".join(v.as_py() for v in values), np.uint8)
+    hashes, row = _shingles(data, ends - lengths, ends, chars)
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1]))
+    return row[fresh], hashes[fresh]
+
+
+def _some(batch: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``SLICE_BYTES`` of lines."""
+    size = sum(np.array([len(v.as_py()) for v in batch.column(c)], np.int64) for c in columns)
+    piece = np.cumsum(size) // utf8.SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(batch)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b > a:
+            yield batch.slice(int(a), int(b - a))
+
+
 def _verified(chars: int, threshold: float):
-    def shingle_set(value: bytes) -> np.ndarray:
-        data = np.frombuffer(value, np.uint8)
-        return np.unique(_shingles(data, np.array([0]), np.array([len(data)]), chars)[0])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in _some(batch, "of_a", "of_b"):
+                n = len(some)
+                row_a, a = _shingle_sets(some.column("of_a"), chars)
+                row_b, b = _shingle_sets(some.column("of_b"), chars)
+                row, both = np.concatenate([row_a, row_b]), np.concatenate([a, b])
+                order = np.lexsort((both, row))
+                row, both = row[order], both[order]
+                twice = row[1:][(both[1:] == both[:-1]) & (row[1:] == row[:-1])]
+                shared = np.bincount(twice, minlength=n)
+                union = np.bincount(row, minlength=n) - shared
+                yield some.select(["a", "b"]).filter(pa.array(shared >= threshold * union - 1e-9))
 
+    return run
+
+
+def _exploded(chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("of_a"), batch.column("of_b")):
-                a, b = shingle_set(a.as_py()), shingle_set(b.as_py())
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(shared >= threshold * (len(a) + len(b) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for some in _some(batch, "value"):
+                row, hashes = _shingle_sets(some.column("value"), chars)
+                ids = some.column("id").take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(hashes.view(np.int64))], ["id", "shingle"])
 
     return run
 
 
 def line_classes(
-    documents: DataFrame, threshold: float = 0.8, chars: int = 5, bands: int = 12, rows_per_band: int = 5
+    documents: DataFrame, threshold: float = 0.8, chars: int = 8, bands: int = 12, rows_per_band: int = 5
 ) -> DataFrame:
     """``(doc_id, line, id, class_id, kept)`` of every non-blank line of ``documents`` (doc_id, text).
 
@@ -172,7 +206,19 @@ def line_classes(
         b = values.select(F.col("id").alias("b"), F.col("value").alias("of_b"))
         return pairs.join(a, "a").join(b, "b").mapInArrow(_verified(chars, threshold), "a long, b long")
 
-    found, _ = linked_components(buckets, verify, lambda left, right: F.lit(True))
+    def shared_sizes(items: DataFrame) -> DataFrame:
+        """n, the shingles of a line, and m, those that another of these lines has too."""
+        each = values.join(items, "id", "left_semi").mapInArrow(_exploded(chars), "id long, shingle long")
+        known = each.groupBy("shingle").agg(F.count("*").alias("df"))
+        return (
+            each.join(known, "shingle").groupBy("id")
+            .agg(F.count("*").alias("n"), F.count_if(F.col("df") > 1).alias("m"))
+        )
+
+    def possible(left, right):
+        return F.least(left("m"), right("m")) * (1 + threshold) >= (left("n") + right("n")) * threshold - 1e-6
+
+    found, _ = linked_components(stored(most_shared_centres(buckets)), verify, possible, shared_sizes)
     # Occurrences of one text shrink to its first before they meet the components.
     place = F.struct(F.col("doc_id"), F.col("line"))
     texts = lines.groupBy("id").agg(F.min(place).alias("place")).join(found, "id", "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import html_text, language, pieces, quality
+from basketry.llm import html_text, language, licences, nearest, pieces, quality, syncmers
 from basketry.llm.line_dedup import line_classes
 from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
@@ -44,6 +44,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     labels = _table(spark, folder, "labels").where(~_held_out(4, 2)).select("doc_id", "quality")
@@ -58,6 +62,16 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.edited_likeness(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``."""
+    documents = _table(spark, folder, "documents")
+    return licences.scan(documents.withColumn("path", F.concat_ws("/", "source", "lang", "doc_id")), carry=["doc_id"])
+
+
 def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     encoded = pieces.encode(_table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
     return encoded.select("doc_id", "piece_ids", "n_pieces", "round_trip")
@@ -83,8 +97,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_mix_sources": op2_mix_sources,
+        "op3_nearest": op3_nearest,
         "op4_quality": op4_quality,
         "op5_html_text": op5_html_text,
+        "op6_syncmers": op6_syncmers,
+        "op7_licences": op7_licences,
         "op8_pieces": op8_pieces,
         "op9_shingle_join": op9_shingle_join,
         "op10_language_id": op10_language_id,

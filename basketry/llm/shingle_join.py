@@ -7,14 +7,16 @@ in one common order, must already meet. Every proof below is for a threshold of
 ``n' <= n / 0.9``); :func:`limits` has both for any threshold.
 
 1. Documents with equal sets become one class, so copies cost nothing further on.
-2. In any common order, prefixes of ``missing + breaks + 2`` shingles hold ``breaks + 2`` shared ones,
-   and so two shared shingles with none between them in either set. Sets without such a
-   two-shingle combination in common with another have no partner. This step sorts by hash, needs
-   no statistics, and leaves a small part of the corpus.
-3. For the rest shingles are counted and sorted from rare to frequent. Those that occur once match
-   nothing: they lower ``missing`` and ``breaks`` of their set, often below zero. In the prefixes of
-   what remains a shared rare shingle is a candidate by itself, frequent ones only as a
-   combination of two neighbours; one of both must occur.
+2. A set is cut into more parts, by ranges of the shingles' hash, than it and a partner can have
+   differences. One part at least is then the same in both: a combination of some ten shingles.
+   Sets with no such combination in common with another have no partner. The number of parts must
+   be the same for both, so it is fixed per size class, and a set takes part in its own class and,
+   as the smaller partner, in the next. This step needs no statistics and leaves a small part of the corpus.
+3. For the rest shingles are counted and sorted from rare to frequent. Prefixes of ``missing + breaks + 2``
+   shingles hold ``breaks + 2`` shared ones, and so two shared shingles with none between them in
+   either set. A rare shingle is a candidate by itself, frequent ones only as a combination of two
+   neighbours; one of both must occur. Shingles that occur once match nothing: they are left out and
+   lower ``missing`` and ``breaks`` of their set, often below zero.
 4. Candidates are verified on the whole sets, and components follow (see ``graph``).
 """
 
@@ -32,10 +34,16 @@ from basketry.llm import utf8
 from basketry.llm.graph import linked_components, shared_buckets
 from basketry.llm.storage import stored
 
-DIGEST = "doc_id long, n int, key_a long, key_b long, combinations array<long>"
+DIGEST = "doc_id long, n int, key_a long, key_b long"
 SETS = "id long, n int, shingles array<long>"
 
 
+def enough(overlap: Column, sizes: Column, threshold: Fraction) -> Column:
+    """Whether an overlap reaches the Jaccard threshold, in whole numbers; ``sizes`` is the sum of both sets'."""
+    num, den = threshold.numerator, threshold.denominator
+    return overlap * (num + den) >= sizes * num
+
+
 def limits(threshold: Fraction) -> tuple[Fraction, Fraction]:
     """Shares of a set's size: what it can lack in its partner, and what both can lack together."""
     t = threshold
@@ -58,31 +66,72 @@ def _sets(column: pa.Array, words_per_shingle: int) -> Iterator[tuple[int, int,
         yield first, end, [utf8.word_shingles(hashes[a:b], words_per_shingle) for a, b in zip(begins[:-1], begins[1:])]
 
 
-def _digest(k: int, threshold: Fraction):
-    lack, both = limits(threshold)
+def _keys(sets: list[np.ndarray]) -> np.ndarray:
+    """Two independent 64-bit hashes of every set."""
+    keys = np.zeros((2, len(sets)), np.uint64)
+    for i, s in enumerate(sets):
+        if len(s):
+            rank = utf8.powers(len(s) + 1)[0][1:]
+            keys[0, i] = utf8.mix((s * rank).sum(keepdims=True))[0]
+            keys[1, i] = utf8.mix((utf8.mix(s) * rank).sum(keepdims=True))[0]
+    return keys
 
+
+def _digest(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, sets in _sets(batch.column("text"), k):
                 size = np.array([len(s) for s in sets], np.int32)
-                keys, combinations = np.zeros((2, len(sets)), np.uint64), []
-                for i, s in enumerate(sets):
-                    if len(s):
-                        rank = utf8.powers(len(s) + 1)[0][1:]
-                        keys[0, i] = utf8.mix((s * rank).sum(keepdims=True))[0]
-                        keys[1, i] = utf8.mix((utf8.mix(s) * rank).sum(keepdims=True))[0]
-                    prefix = s[: _floor(len(s), lack) + _floor(len(s), both) + 2]
-                    can_differ = _floor(len(s), both) > 0
-                    combinations.append(utf8.mix(prefix[:-1] * np.uint64(3) + prefix[1:]) if can_differ else s[:0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, end - first),
-                        pa.array(size),
-                        *(pa.array(x.view(np.int64)) for x in keys),
-                        _lists(combinations),
-                    ],
-                    ["doc_id", "n", "key_a", "key_b", "combinations"],
-                )
+                columns = [batch.column("doc_id").slice(first, end - first), pa.array(size)]
+                columns += [pa.array(x.view(np.int64)) for x in _keys(sets)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key_a", "key_b"])
+
+    return run
+
+
+def size_classes(n: int, threshold: Fraction) -> list[tuple[int, int]]:
+    """The two size classes in which a set of n may meet partners, with their numbers of parts.
+
+    A class ends below 1 / threshold times its start, so partners are of one class or of
+    neighbouring ones. Sets of a class and the one before have at most ``2 * largest * (1 - t) / (1 + t)``
+    differences. One part means no difference: such sets are equal.
+    """
+    start, number, found = 1, 0, []
+    while len(found) < 2:
+        end = max(start + 1, -(-start * threshold.denominator // threshold.numerator))
+        if n < end:
+            parts = _floor(2 * (end - 1), (1 - threshold) / (1 + threshold)) + 1
+            found.append((number, parts))
+        start, number = end, number + 1
+    return found
+
+
+def _combinations(k: int, threshold: Fraction):
+    """(bucket, id): a hash of each part of each set, named by the set's first key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes: dict[int, list[tuple[int, int]]] = {}
+        for batch in batches:
+            seen: set[int] = set()  # copies within a batch count once
+            for _, _, sets in _sets(batch.column("text"), k):
+                buckets, ids = [], []
+                for s, key in zip(sets, _keys(sets)[0]):
+                    if not len(s) or int(key) in seen:
+                        continue
+                    seen.add(int(key))
+                    if len(s) not in classes:
+                        classes[len(s)] = size_classes(len(s), threshold)
+                    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(utf8.mix(s))])
+                    for number, parts in classes[len(s)]:
+                        if parts > 1:
+                            part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                            cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+                            of_part = np.arange(parts, dtype=np.uint64) + np.uint64(number << 32)
+                            buckets.append(utf8.mix(utf8.mix(of_part) + total[cut[1:]] - total[cut[:-1]]))
+                            ids.append(np.full(parts, key, np.uint64))
+                if buckets:
+                    columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (buckets, ids)]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
 
     return run
 
@@ -105,13 +154,14 @@ def _signatures(sets: DataFrame, threshold: Fraction, rare: int) -> DataFrame:
     m is the number of shingles that any other set has too.
     """
     lack, both = limits(threshold)
-    each = sets.select("id", "n", F.explode("shingles").alias("shingle"))
+    each = sets.select("id", F.explode("shingles").alias("shingle"))
     counts = each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     ranked = (
         each.join(counts, "shingle")
-        .groupBy("id", "n")
+        .groupBy("id")
         .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("order"))
         .withColumn("m", F.size("order"))
+        .join(sets.select("id", "n"), "id")
     )
     once = F.col("n") - F.col("m")
     missing = F.floor(F.col("n") * lack.numerator / lack.denominator) - once
@@ -142,40 +192,29 @@ def near_documents(
     per input row, linked by whichever of its texts link. Other columns are ignored.
     """
     t = Fraction(threshold)
-    lack, both = limits(t)
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    digest = stored(rows.mapInArrow(_digest(words_per_shingle, t), DIGEST))
-
+    digest = stored(rows.mapInArrow(_digest(words_per_shingle), DIGEST))
     named = digest.where("n > 0 and doc_id is not null")
-    classes = stored(
-        named.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
-    )
-    ids = classes.select("id").distinct()
-    sharing = shared_buckets(
-        digest.join(ids, digest.doc_id == ids.id, "left_semi")
-        .select(F.explode("combinations").alias("bucket"), F.col("doc_id").alias("id"))
-    )
-    some = stored(sharing.select("id").distinct())
+    classes = stored(named.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("id")))
+
+    parts = rows.where("doc_id is not null").select("text").mapInArrow(_combinations(words_per_shingle, t), "bucket long, id long")
+    sharing = shared_buckets(parts).select(F.col("id").alias("key_a")).distinct()
+    some = stored(classes.join(sharing, "key_a", "left_semi").select("id").distinct())
     texts = rows.join(some, rows.doc_id == some.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
     sets = stored(texts.mapInArrow(_whole_sets(words_per_shingle), SETS))
 
-    num, den = t.numerator, t.denominator
-
-    def enough(overlap: Column, sizes: Column) -> Column:
-        # overlap / (sizes - overlap) >= num / den, in whole numbers
-        return overlap * (num + den) >= sizes * num
-
     def possible(left, right) -> Column:
-        return enough(F.least(left("m"), right("m")), left("n") + right("n"))
+        return enough(F.least(left("m"), right("m")), left("n") + right("n"), t)
 
     def verify(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("of_a"))
         b = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("of_b"))
         overlap = F.size(F.array_intersect("of_a", "of_b"))
         both_sets = pairs.join(b, "b").join(a, "a")
-        return both_sets.where(enough(overlap, F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
+        return both_sets.where(enough(overlap, F.col("n_a") + F.col("n_b"), t)).select("a", "b").distinct()
 
-    buckets = stored(shared_buckets(_signatures(sets, t, rare)))
+    # The centre of a bucket is the set with the fewest shingles of its own.
+    buckets = stored(shared_buckets(_signatures(sets, t, rare), F.col("n") - F.col("m")))
     found, _ = linked_components(buckets, verify, possible)
 
     by_class = classes.join(found, "id", "left").select(

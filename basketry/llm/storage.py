@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,14 @@ def use_checkpoint_folder(spark: SparkSession) -> None:
 
 
 def stored(frame: DataFrame) -> DataFrame:
-    """The same rows, computed now and read from the shared folder from then on."""
+    """The same rows, computed now and read from the shared folder from then on.
+
+    Shuffle files of the steps before are of no more use, but Spark removes them only when the driver
+    happens to collect its garbage. Asking for that here keeps a long job to the disk of its largest step.
+    """
     use_checkpoint_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    result = frame.checkpoint(eager=True)
+    del frame
+    gc.collect()
+    result.sparkSession.sparkContext._jvm.System.gc()
+    return result
