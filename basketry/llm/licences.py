@@ -16,6 +16,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.storage import stored
+
 # Wordings of licence headers and notices.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -68,7 +70,8 @@ class Weights:
 
         A word that no template has weighs as one that no file has, each occurrence by itself.
         """
-        counts = [F.size(F.filter(terms, lambda x, w=w: x == w)) for w in self.words]
+        equals = lambda w: lambda x: x == w
+        counts = [F.size(F.filter(terms, equals(w))) for w in self.words]
         here = F.array(*[(n * self.idf[w]).cast("double") for n, w in zip(counts, self.words)])
         known = F.aggregate(F.filter(terms, lambda x: x.isin(self.words)), F.lit(0), lambda n, _: n + 1)
         square = F.aggregate(here, F.lit(0.0), lambda total, x: total + x * x)
@@ -118,14 +121,16 @@ def scan(
         F.transform(F.split("text", "\n", -1), lambda text, i: F.struct(i.alias("line"), text.alias("text"))),
         lambda x: F.lower(x["text"]).rlike(telling),
     )
-    # Only rows with a telling line go on, and only with such lines.
-    with_lines = rows.withColumn("lines", lines).withColumn("whole", F.when(F.size("lines") > 0, _terms(F.col("text"))))
-    on_lines = F.array_max(F.transform("lines", lambda x: scored(_terms(x["text"]), x["line"])))
-    on_whole = F.when(F.size("lines") > 0, scored(F.col("whole"), F.lit(0)))
-    own = with_lines.select(
+    # Of a row without a telling line nothing but an empty array goes on.
+    units = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), _terms(x["text"]).alias("terms")))
+    found = rows.withColumn("units", units)
+    found = found.withColumn("whole", F.when(F.size("units") > 0, _terms(F.col("text")))).drop("text")
+    on_lines = F.array_max(F.transform("units", lambda x: scored(x["terms"], x["line"])))
+    on_whole = F.when(F.size("units") > 0, scored(F.col("whole"), F.lit(0)))
+    own = found.select(
         "row", "path", on_lines.alias("by_line"), on_whole.alias("by_whole"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")
     )
-    own = own.withColumn("own", F.greatest("by_line", "by_whole"))
+    own = stored(own.withColumn("own", F.greatest("by_line", "by_whole")))
 
     named = own.where("by_whole is not null and path is not null")
     folders = named.groupBy("folder").agg(F.max("by_whole.score").alias("top"))

@@ -23,36 +23,25 @@ PIECE = 24
 WORD = r"[^\x20\x09-\x0D]{1,%d}" % PIECE
 
 
-def _anchors(hashes: Column, k: int, s: int) -> Column:
-    """(place, hash) of the closed syncmers of an array of word hashes; a shorter sequence is one anchor."""
-    inner = k - s + 1
-    runs = hashes
-    for i in range(1, s):
-        runs = F.zip_with(runs, F.slice(hashes, i + 1, F.greatest(F.size(hashes) - i, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    runs = F.slice(runs, 1, F.greatest(F.size(hashes) - (s - 1), F.lit(0)))
-
-    def edge(runs: Column) -> Column:
-        least = lambda i: F.array_min(F.slice(runs, i, inner))
-        return F.filter(
-            F.sequence(F.lit(1), F.size(runs) - (inner - 1)),
-            lambda i: least(i).isin(F.get(runs, i - 1), F.get(runs, i + (inner - 2))),
-        )
-
-    places = F.when(F.size(hashes) >= k, edge(runs)).when(F.size(hashes) > 0, F.array(F.lit(1)))
-    width = F.least(F.size(hashes), F.lit(k))
-    return F.transform(
-        F.coalesce(places, F.array().cast("array<int>")),
-        lambda i: F.struct((i - 1).alias("place"), F.hash(F.slice(hashes, i, width)).alias("hash")),
-    )
-
+def with_anchors(rows: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
+    """``rows`` with the anchors of column ``text`` as ``name``: array<struct<place, hash>>.
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """array<struct<place, hash>> of a text; NULL and blank texts have none.
-
-    ``place`` is the number of words before the anchor.
+    ``place`` is the number of words before the anchor. A text of fewer than ``k`` words is one anchor; NULL and
+    blank texts have none. Each step is a column of its own, so that Spark computes it once a row.
     """
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), 0)
-    return _anchors(F.transform(words, lambda w: F.xxhash64(w)), k, s)
+    rows = rows.withColumn("_words", F.transform(words, lambda w: F.xxhash64(w)))
+    runs = F.transform("_words", lambda w, i: F.xxhash64(*[F.get("_words", i + j) for j in range(s)]))
+    rows = rows.withColumn("_runs", runs)
+    inner = k - s + 1
+    # The last s - 1 runs are cut off by the end of the text and stand in no k-mer.
+    places = F.sequence(F.lit(0), F.size("_runs") - k)
+    least = lambda i: F.array_min(F.slice("_runs", i + 1, inner))
+    edge = F.filter(places, lambda i: least(i).isin(F.get("_runs", i), F.get("_runs", i + (inner - 1))))
+    found = F.when(F.size("_words") >= k, edge).when(F.size("_words") > 0, F.array(F.lit(0)))
+    rows = rows.withColumn("_places", F.coalesce(found, F.array().cast("array<int>")))
+    anchor = lambda i: F.struct(i.alias("place"), F.hash(F.slice("_words", i + 1, k)).alias("hash"))
+    return rows.withColumn(name, F.transform("_places", anchor)).drop("_words", "_runs", "_places")
 
 
 def as_string(found: Column) -> Column:
@@ -105,7 +94,7 @@ def successors(ids: DataFrame, id_: str) -> DataFrame:
 def fingerprints(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """``(doc_id, text, anchors, fingerprint)`` of every row of ``documents`` (doc_id, text); NULL counts as empty."""
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = rows.withColumn("anchors", anchors(F.col("text"), k, s))
+    found = with_anchors(rows, "text", "anchors", k, s)
     return found.withColumn("fingerprint", as_string(F.col("anchors")))
 
 
@@ -120,21 +109,21 @@ def edited_likeness(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     follow = successors(rows, "doc_id")
-    # What a document needs of its successor is the beginning; texts are shuffled by their own id once more only.
-    heads = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("next_text"))
-    heads = heads.join(follow.withColumnRenamed("id", "of"), heads.doc_id == follow.next).select("of", "next_text")
-    pair = rows.join(heads, rows.doc_id == heads.of, "left").select("doc_id", "text", F.coalesce("next_text", F.lit("")).alias("next_text"))
-    length = F.length("text")
-    cut = F.floor(length / 3).cast("int")
-    edited = F.concat(F.expr("left(text, length(text) - int(floor(length(text) / 3)))"), F.substring("next_text", F.lit(1), cut))
-    pair = pair.withColumn("edited", edited)
-    found = pair.select(
+    own = with_anchors(rows, "text", "own", k, s)
+    heads = own.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("text", "own")).alias("next"))
+    heads = heads.join(follow.withColumnRenamed("id", "of").withColumnRenamed("next", "at"), F.col("doc_id") == F.col("at"))
+    heads = heads.select("of", F.col("next.text").alias("next_text"), F.col("next.own").alias("next_own"))
+    pair = own.join(heads, own.doc_id == heads.of, "left")
+    cut = F.floor(F.length("text") / 3).cast("int")
+    kept = F.substring("text", F.lit(1), F.length("text") - cut)
+    pair = pair.withColumn("edited", F.concat(kept, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), cut)))
+    found = with_anchors(pair, "edited", "changed", k, s).select(
         "doc_id",
-        length.cast("long").alias("n_chars"),
+        F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        anchors(F.col("text"), k, s).alias("own"),
-        anchors(F.col("edited"), k, s).alias("changed"),
-        anchors(F.col("next_text"), k, s).alias("next"),
+        "own",
+        "changed",
+        F.coalesce("next_own", F.array().cast("array<struct<place:int,hash:int>>")).alias("next"),
     )
     return found.select(
         "doc_id", "n_chars", "edited_sha256",
