@@ -92,10 +92,14 @@ def linked_components(
     )
     if describe is not None:
         open_ = stored(open_.join(describe(open_.select("id").distinct()), "id"))
+    # A pair counts in the smallest bucket that both share, not in all of them.
+    each = open_.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
+    open_ = stored(open_.join(each, "id"))
     left, right = open_.alias("l"), open_.alias("r")
     apart = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.id") < F.col("r.id"))
     apart &= F.col("l.component") != F.col("r.component")
     apart &= possible(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}"))
+    apart &= F.col("l.bucket") == F.array_min(F.array_intersect("l.buckets", "r.buckets"))
     rest = left.join(right, apart).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
     more = stored(verify(rest))
     if more.isEmpty():
