@@ -45,14 +45,15 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class _Lines(HTMLParser):
-    """Collects lines: text, number of tags, article they belong to (0: none)."""
+    """Collects lines: text, number of tags, share of link text, article they belong to (0: none)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, float, int]] = []
         self.open: list[tuple[str, bool, int]] = []  # element, left out, article
         self.parts: list[str] = []
         self.tags = 0
+        self.linked = 0
         self.articles = 0
 
     def _state(self) -> tuple[bool, int]:
@@ -61,9 +62,9 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self._state()[1]))
+            self.lines.append((text, self.tags, self.linked / len(text), self._state()[1]))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
 
     def _pop(self, depth: int) -> None:
         del self.open[depth:]
@@ -142,6 +143,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self._state()[0]:
             self.parts.append(data)
+            if any(name == "a" for name, *_ in reversed(self.open)):
+                self.linked += len(data.strip())
 
 
 def _threshold(ratio: np.ndarray) -> float:
@@ -167,11 +170,12 @@ def main_text(html: str) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratio = np.array([len(text) / max(tags, 1) for text, tags, _ in lines])
+    ratio = np.array([len(text) / max(tags, 1) for text, tags, *_ in lines])
     reach = np.arange(-int(3 * SIGMA), int(3 * SIGMA) + 1)
     weight = np.exp(-(reach**2) / (2 * SIGMA**2))
     smooth = np.convolve(np.pad(ratio, len(reach) // 2, mode="edge"), weight / weight.sum(), mode="valid")
-    chosen = smooth >= _threshold(smooth)
+    # Smoothing lends a line the ratio of its neighbours; one that is all links is still a menu.
+    chosen = (smooth >= _threshold(smooth)) & np.array([share < 0.9 for _, _, share, _ in lines])
     article = np.array([a for *_, a in lines])
     if article.any():
         marked = np.unique(article[chosen & (article > 0)])
