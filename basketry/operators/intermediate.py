@@ -168,12 +168,12 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     champions, loyal, new, potential, at_risk, hibernating, other = RFM_SEGMENTS
     return first_match(
         [
-            (F.least(r, f, m) >= 4, champions),
-            (F.least(r, f) >= 3, loyal),
+            ((r >= 4) & (f >= 4) & (m >= 4), champions),
+            ((r >= 3) & (f >= 3), loyal),
             ((r >= 4) & (f <= 2), new),
-            (F.least(r, m) >= 3, potential),
-            ((r <= 2) & (F.least(f, m) >= 3), at_risk),
-            (F.greatest(r, f) <= 2, hibernating),
+            ((r >= 3) & (m >= 3), potential),
+            ((r <= 2) & (f >= 3) & (m >= 3), at_risk),
+            ((r <= 2) & (f <= 2), hibernating),
         ],
         other,
     )

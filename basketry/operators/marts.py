@@ -56,16 +56,22 @@ def mart_product_performance(items: DataFrame, products: DataFrame, orders: Data
         .where(F.col("total_orders") >= MIN_ORDERS_PER_PRODUCT)
     )
     paid_share = F.col("avg_sale_price") / F.nullif("retail_price", F.lit(0.0))
-    return (
-        products.join(sales, "product_id")
-        .select(
-            *["product_id", "product_name", "category", "brand", "department"],
-            *["retail_price", "cost", "margin_pct"],
-            *["total_orders", "total_units_sold", "total_revenue", "avg_sale_price"],
-            F.round((1 - paid_share) * 100, 2).alias("avg_discount_pct"),
-            *["returned_units", "return_rate_pct"],
-        )
-        .orderBy(F.desc("total_revenue"), "product_id")
+    return products.join(sales, "product_id").select(
+        "product_id",
+        "product_name",
+        "category",
+        "brand",
+        "department",
+        "retail_price",
+        "cost",
+        "margin_pct",
+        "total_orders",
+        "total_units_sold",
+        "total_revenue",
+        "avg_sale_price",
+        F.round((1 - paid_share) * 100, 2).alias("avg_discount_pct"),
+        "returned_units",
+        "return_rate_pct",
     )
 
 

@@ -122,7 +122,7 @@ def describe(
 
     if approximate:
         return summary(lambda c, p: F.percentile_approx(_cell(c), p, 10_000))
-    if numbers.count() <= single_task_rows:
+    if single_task_rows and numbers.count() <= single_task_rows:
         return summary(lambda c, p: F.percentile(_cell(c), p))
     exact = _exact_quantiles(numbers, columns, list(QUARTILES.values()))
     return summary(lambda c, p: F.lit(exact[c][p]).cast("double"))
@@ -153,7 +153,10 @@ def _exact_quantiles(
             return None
         low, high, beyond = neighbours(name, share)
         start, end = values[name][low][0], values[name][high][0]
-        return start if start == end else start + (end - start) * beyond
+        if beyond == 0 or start == end:
+            return start
+        # Weighted ends: their difference may be no finite double.
+        return (1 - beyond) * start + beyond * end
 
     return {
         column: {share: quantile(name, share) for share in shares}

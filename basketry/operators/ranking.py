@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 import os
-import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -22,11 +21,11 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import without_nan
 
-# Up to this many rows a plain one-task window is cheaper than the counting rounds.
-SINGLE_TASK_ROWS = 100_000
+# Rows up to which a caller may ask for a plain one-task window; by default it is never used,
+# so that tables of every size are ranked in one way.
+SINGLE_TASK_ROWS = 0
 NUMBER_BUCKETS = 2048
 TIE_STEP = 3  # characters resolved per round
-LARGEST = sys.float_info.max
 
 
 # ------------------------------------------------------ order statistics
@@ -111,19 +110,19 @@ def _pick_buckets(histogram: DataFrame, spans: Sequence[_Span | _Prefix]) -> lis
 
 
 def _finite(name: str) -> Column:
-    """Infinities moved to the largest doubles, so that intervals have a width."""
-    return F.greatest(F.least(F.col(name), F.lit(LARGEST)), F.lit(-LARGEST))
-
-
-def _original(value: float) -> float:
-    return math.copysign(math.inf, value) if abs(value) == LARGEST else value
+    """A column without its infinities: they rank first and last, and are counted apart."""
+    return F.when(F.abs(F.col(name)) < math.inf, F.col(name))
 
 
 def extremes(columns: Sequence[str]) -> list[Column]:
-    """Aggregates naming the non-NULL rows and the range of each column."""
+    """Aggregates of each column: non-NULL rows, infinite rows at both ends, range of the finite ones."""
     return [
         F.struct(
-            F.count(c).alias("present"), F.min(_finite(c)).alias("low"), F.max(_finite(c)).alias("high")
+            F.count(c).alias("present"),
+            F.count_if(F.col(c) == -math.inf).alias("lowest"),
+            F.count_if(F.col(c) == math.inf).alias("highest"),
+            F.min(_finite(c)).alias("low"),
+            F.max(_finite(c)).alias("high"),
         ).alias(c)
         for c in columns
     ]
@@ -140,13 +139,24 @@ def order_statistics(
     found: dict[str, dict[int, tuple[float, int]]] = {column: {} for column in ranks}
     columns = [column for column, wanted in ranks.items() if wanted]
     narrow = df.select(*[_finite(c).alias(c) for c in columns])
-    spans = [
-        _Span(c, ranges[c].low, ranges[c].high, 0, tuple(sorted(set(ranks[c])))) for c in columns
-    ]
+    spans = []
+    for c in columns:
+        facts = ranges[c]
+        top = facts.present - facts.highest
+        inner = []
+        for rank in sorted(set(ranks[c])):
+            if rank < facts.lowest:
+                found[c][rank] = (-math.inf, 0)
+            elif rank >= top:
+                found[c][rank] = (math.inf, top)
+            else:
+                inner.append(rank)
+        if inner:
+            spans.append(_Span(c, facts.low, facts.high, facts.lowest, tuple(inner)))
     while spans:
         for span in spans:
             if span.low == span.high:
-                found[span.column].update({r: (_original(span.low), span.below) for r in span.ranks})
+                found[span.column].update({r: (span.low, span.below) for r in span.ranks})
         spans = [span for span in spans if span.low < span.high]
         if not spans:
             break

@@ -15,8 +15,9 @@ from basketry.functions.columns import as_day, days_between, first_match, month_
 ACCEPTED_EVENT_TYPES = ("home", "category", "brand", "product", "cart", "purchase", "cancel")
 HOME_COUNTRY = "United States"
 RETURNED_ITEM_STATUS = "Returned"
-AGE_GROUPS = ("Under 18", "18-24", "25-34", "35-44", "45-54", "55+")
-AGE_GROUP_FLOORS = (None, 18, 25, 35, 45, 55)
+AGE_GROUP_CEILINGS = ((18, "Under 18"), (25, "18-24"), (35, "25-34"), (45, "35-44"), (55, "45-54"))
+OLDEST_GROUP = "55+"
+AGE_GROUPS = (*[label for _, label in AGE_GROUP_CEILINGS], OLDEST_GROUP)
 AGE_UNKNOWN = "Unknown"
 
 
@@ -61,12 +62,8 @@ def stg_order_items(order_items: DataFrame) -> DataFrame:
 
 def age_group(age: Column) -> Column:
     """Bucket label of an age; a missing age is unknown."""
-    oldest_first = [
-        (age >= floor, label)
-        for label, floor in zip(AGE_GROUPS, AGE_GROUP_FLOORS)
-        if floor is not None
-    ][::-1]
-    return first_match([*oldest_first, (age.isNotNull(), AGE_GROUPS[0])], AGE_UNKNOWN)
+    bounded = [(age < ceiling, label) for ceiling, label in AGE_GROUP_CEILINGS]
+    return first_match([*bounded, (age.isNotNull(), OLDEST_GROUP)], AGE_UNKNOWN)
 
 
 def stg_users(users: DataFrame) -> DataFrame:

@@ -43,6 +43,22 @@ def check(spark, rows, tiles):
         assert (row.up, row.last, row.down) == (row.w_up, row.w_last, row.w_down), row
 
 
+LARGEST = 1.7976931348623157e308
+
+
+@pytest.mark.parametrize(
+    "keys, tiles",
+    [
+        ([None, LARGEST], 2),
+        ([-math.inf, -LARGEST, 0.0, LARGEST, math.inf], 5),
+        ([math.inf, math.inf, -math.inf, None, 1.0], 3),
+        ([-math.inf] * 3, 2),
+    ],
+)
+def test_ends_of_the_double_range(spark, keys, tiles):
+    check(spark, [(str(i * 7919), key) for i, key in enumerate(keys)], tiles)
+
+
 @QUICK
 @given(
     keys=st.lists(
