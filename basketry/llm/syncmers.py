@@ -72,23 +72,28 @@ def aligned(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(both / F.size(a))
 
 
-def successors(ids: DataFrame, id_: str) -> DataFrame:
-    """``(id, next)`` of every distinct value of ``id_``: the next smaller one, for the smallest the largest.
+def with_next(rows: DataFrame, ranges: int) -> DataFrame:
+    """``rows`` (doc_id, text) in ranges of doc_id, with ``edge`` rows that continue each range.
 
-    Values are dealt by range, so neighbours stand together; only the smallest value of each range has
-    its successor in another, and these are found over one row per range.
+    Every range also gets a copy of the row that follows its smallest doc_id: the one of the largest doc_id of the
+    range below, for the lowest range of all ranges. So a row and its next document always stand in one range, and
+    texts are shuffled once. There are at most ``ranges`` edge rows, and as many bounds at the driver. Rows with
+    NULL doc_id are dealt by their text.
     """
-    spread = ids.select(F.col(id_).alias("id")).where("id is not null").distinct()
-    ranges = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = stored(spread.repartitionByRange(ranges, "id").withColumn("range", F.spark_partition_id()))
-    inside = F.lag("id").over(Window.partitionBy("range").orderBy("id"))
-    ends = spread.groupBy("range").agg(F.max("id").alias("largest"))
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = rows.select(F.percentile_approx("doc_id", F.lit(shares), F.lit(ranges * 10))).first()[0] if shares else []
+    bounds = F.array(*[F.lit(x) for x in sorted(set(bounds or []))]).cast("array<bigint>")
+    own_range = F.size(F.filter(bounds, lambda x: x < F.col("doc_id")))
+    by_text = -1 - F.pmod(F.xxhash64("text"), F.lit(ranges)).cast("int")
+    rows = rows.withColumn("range", F.when(F.col("doc_id").isNull(), by_text).otherwise(own_range))
+    ends = rows.where("doc_id is not null").groupBy("range").agg(F.max("doc_id").alias("largest"))
     every = Window.orderBy("range")
-    ends = ends.select(
-        "range",
-        F.coalesce(F.lag("largest").over(every), F.max("largest").over(Window.partitionBy())).alias("before"),
-    )
-    return spread.withColumn("inside", inside).join(ends, "range").select("id", F.coalesce("inside", "before").alias("next"))
+    above = F.coalesce(F.lead("range").over(every), F.min("range").over(Window.partitionBy()))
+    ends = stored(ends.select("largest", above.alias("into")))
+    edges = rows.join(F.broadcast(ends), F.col("doc_id") == F.col("largest"))
+    edges = edges.groupBy("doc_id", "into").agg(F.min("text").alias("text"))
+    edges = edges.select("doc_id", "text", F.col("into").alias("range"), F.lit(True).alias("edge"))
+    return rows.withColumn("edge", F.lit(False)).unionByName(edges).repartition("range")
 
 
 def fingerprints(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
@@ -108,12 +113,20 @@ def edited_likeness(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
     aligned_edited.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    follow = successors(rows, "doc_id")
-    own = with_anchors(rows, "text", "own", k, s)
-    heads = own.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("text", "own")).alias("next"))
-    heads = heads.join(follow.withColumnRenamed("id", "of").withColumnRenamed("next", "at"), F.col("doc_id") == F.col("at"))
-    heads = heads.select("of", F.col("next.text").alias("next_text"), F.col("next.own").alias("next_own"))
-    pair = own.join(heads, own.doc_id == heads.of, "left")
+    ranges = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = with_anchors(with_next(rows, ranges), "text", "own", k, s)
+    # Ascending, with the least text of a doc_id last: what follows a document stands right before it.
+    order = Window.partitionBy("range").orderBy(F.desc("edge"), "doc_id", F.desc("text"))
+    before = F.lag(F.struct("doc_id", "text", "own", "edge")).over(order)
+    repeat = (F.col("before.doc_id") == F.col("doc_id")) & ~F.col("before.edge")
+    pair = own.withColumn("before", before).withColumn("repeat", F.coalesce(repeat, F.lit(False)))
+    # Repeats of a doc_id take over what its first row found; a lone document is its own next one.
+    first = F.when(~F.col("repeat"), F.struct("before.text", "before.own"))
+    pair = pair.withColumn("next", F.last(first, ignorenulls=True).over(order)).where("not edge")
+    known = F.col("doc_id").isNotNull()
+    pair = pair.select(
+        "doc_id", "text", "own", F.when(known, F.col("next.text")).alias("next_text"), F.when(known, F.col("next.own")).alias("next_own")
+    )
     cut = F.floor(F.length("text") / 3).cast("int")
     kept = F.substring("text", F.lit(1), F.length("text") - cut)
     pair = pair.withColumn("edited", F.concat(kept, F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), cut)))

@@ -282,6 +282,25 @@ def test_edited_fingerprints(spark, awkward):
     assert syncmers.edited_likeness(awkward).count() == awkward.count()
 
 
+def test_next_document_of_repeats_edges_and_one(spark):
+    def edited(rows):
+        found = syncmers.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string"))
+        return sorted((r.doc_id is not None, r.doc_id or 0, r.n_chars, r.edited_sha256) for r in found.collect())
+
+    def sha(*texts):
+        return [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+    rows = [(5, "aaabbbccc"), (9, "xyz"), (9, "uvw"), (2, "one"), (2, "one"), (None, "nul")]
+    one, again, five, uvw, xyz = sha("onu", "onu", "aaabbbone", "uva", "xya")
+    assert edited(rows) == sorted(
+        [(False, 0, 3, *sha("nu")), (True, 2, 3, one), (True, 2, 3, again), (True, 5, 9, five), (True, 9, 3, uvw), (True, 9, 3, xyz)]
+    )
+    assert edited([(7, "abc")]) == [(True, 7, 3, *sha("aba"))]
+    many = [(i * 3, f"{i:05d}") for i in range(300)]
+    wanted = [(True, i * 3, 5, *sha(f"{i:05d}"[:4] + f"{(i - 1) % 300:05d}"[:1])) for i in range(300)]
+    assert edited(many) == wanted
+
+
 def test_syncmers_are_context_free(spark):
     draw = random.Random(6)
     base = words(draw, 300)
