@@ -52,10 +52,10 @@ def as_string(found: Column) -> Column:
         lambda here, last: F.concat_ws(
             "-",
             (here["place"] - F.coalesce(last["place"], F.lit(0))).cast("string"),
-            F.lower(F.lpad(F.hex(here["hash"].cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")),
+            F.lpad(F.hex(here["hash"].cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"),
         ),
     )
-    return F.array_join(gaps, " ")
+    return F.lower(F.array_join(gaps, " "))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -68,7 +68,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 def aligned(a: Column, b: Column) -> Column:
     """The share of ``a``'s anchors that stand at the same place in ``b``; 1 if ``a`` has none."""
-    both = F.size(F.array_intersect(a, b))
+    # Spark compares whole numbers by hash, structs each with each.
+    packed = lambda x: F.shiftleft(x["place"].cast("long"), 32).bitwiseXOR(x["hash"].cast("long"))
+    both = F.size(F.array_intersect(F.transform(a, packed), F.transform(b, packed)))
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(both / F.size(a))
 
 
