@@ -8,7 +8,9 @@ in one common order, must already meet. Every proof below is for a threshold of
 
 1. Documents with equal sets become one class, so copies cost nothing further on.
 2. A set is cut into more parts, by ranges of the shingles' hash, than it and a partner can have
-   differences. One part at least is then the same in both: a combination of some ten shingles.
+   differences. One part at least is then the same in both: a combination of some eight shingles.
+   Empty parts say little: a set with more parts that hold something than it can have differences
+   has one of these in common with its partner, and leaves the empty ones out.
    Sets with no such combination in common with another have no partner. The number of parts must
    be the same for both, so it is fixed per size class, and a set takes part in its own class and,
    as the smaller partner, in the next. This step needs no statistics and leaves a small part of the corpus.
@@ -90,18 +92,17 @@ def _digest(k: int):
 
 
 def size_classes(n: int, threshold: Fraction) -> list[tuple[int, int]]:
-    """The two size classes in which a set of n may meet partners, with their numbers of parts.
+    """The two size classes in which a set of n may meet partners, with the most differences of two such sets.
 
     A class ends below 1 / threshold times its start, so partners are of one class or of
     neighbouring ones. Sets of a class and the one before have at most ``2 * largest * (1 - t) / (1 + t)``
-    differences. One part means no difference: such sets are equal.
+    differences. No difference means equal sets.
     """
     start, number, found = 1, 0, []
     while len(found) < 2:
         end = max(start + 1, -(-start * threshold.denominator // threshold.numerator))
         if n < end:
-            parts = _floor(2 * (end - 1), (1 - threshold) / (1 + threshold)) + 1
-            found.append((number, parts))
+            found.append((number, _floor(2 * (end - 1), (1 - threshold) / (1 + threshold))))
         start, number = end, number + 1
     return found
 
@@ -122,13 +123,18 @@ def _combinations(k: int, threshold: Fraction):
                     if len(s) not in classes:
                         classes[len(s)] = size_classes(len(s), threshold)
                     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(utf8.mix(s))])
-                    for number, parts in classes[len(s)]:
-                        if parts > 1:
+                    for number, differences in classes[len(s)]:
+                        if differences:
+                            parts = differences + differences // 8 + 3
                             part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
                             cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
                             of_part = np.arange(parts, dtype=np.uint64) + np.uint64(number << 32)
-                            buckets.append(utf8.mix(utf8.mix(of_part) + total[cut[1:]] - total[cut[:-1]]))
-                            ids.append(np.full(parts, key, np.uint64))
+                            bucket = utf8.mix(utf8.mix(of_part) + total[cut[1:]] - total[cut[:-1]])
+                            solid = cut[1:] > cut[:-1]
+                            if solid.sum() > differences:
+                                bucket = bucket[solid]
+                            buckets.append(bucket)
+                            ids.append(np.full(len(bucket), key, np.uint64))
                 if buckets:
                     columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (buckets, ids)]
                     yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
