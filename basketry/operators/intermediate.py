@@ -129,29 +129,41 @@ def completed_orders(orders: DataFrame) -> DataFrame:
 
 
 def customer_measures(orders: DataFrame) -> DataFrame:
-    """Purchase measures per customer over completed orders."""
-    back = count_true(F.col("is_returned"))
-    distinct_orders = F.count_distinct("order_id")
+    """Purchase measures per customer over completed orders.
+
+    ``order_id`` is unique among them (one of the data checks), so orders are counted. An order's customer
+    attributes follow from the customer: grouping by them first sums orders by hash, on the map
+    side, and leaves the text maxima a row or so per customer.
+    """
     attributes = {
         "age_group": "age_group",
         "gender": "gender",
         "state": "customer_state",
         "traffic_source": "traffic_source",
     }
-    return (
+    alike = (
         completed_orders(orders)
-        .groupBy("user_id")
+        .groupBy("user_id", *attributes.values())
         .agg(
-            distinct_orders.alias("frequency"),
-            F.sum("net_revenue").alias("monetary"),
-            F.max("order_date").alias("last_order_date"),
-            F.min("order_date").alias("first_order_date"),
-            F.avg("net_revenue").alias("avg_order_value"),
-            *[F.max(source).alias(name) for name, source in attributes.items()],
-            back.alias("returned_orders"),
-            percent(back, distinct_orders, 1).alias("return_rate_pct"),
+            F.count("order_id").alias("orders"),
+            F.sum("net_revenue").alias("revenue"),
+            F.count("net_revenue").alias("priced"),
+            F.max("order_date").alias("last"),
+            F.min("order_date").alias("first"),
+            count_true(F.col("is_returned")).alias("returned"),
         )
     )
+    orders_, returned = F.sum("orders"), F.sum("returned")
+    return alike.groupBy("user_id").agg(
+        orders_.alias("frequency"),
+        F.sum("revenue").alias("monetary"),
+        F.max("last").alias("last_order_date"),
+        F.min("first").alias("first_order_date"),
+        (F.sum("revenue") / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_order_value"),
+        *[F.max(source).alias(name) for name, source in attributes.items()],
+        returned.alias("returned_orders"),
+        percent(returned, orders_, 1).alias("return_rate_pct"),
+    )
 
 
 def with_recency(measures: DataFrame) -> DataFrame:
@@ -179,7 +191,7 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def rfm_scores(measures: DataFrame, **limits: int) -> DataFrame:
+def rfm_scores(measures: DataFrame) -> DataFrame:
     """Quintile scores: 5 is the freshest, the most frequent, the highest spending."""
     return global_ntile(
         measures,
@@ -192,17 +204,16 @@ def rfm_scores(measures: DataFrame, **limits: int) -> DataFrame:
         ],
         tie="user_id",
         tiles=5,
-        **limits,
     )
 
 
-def int_customer_stats(orders: DataFrame, **limits: int) -> DataFrame:
+def int_customer_stats(orders: DataFrame) -> DataFrame:
     """RFM measures, scores and segment per customer with a completed order.
 
     The measures are stored once, because scoring reads them several times.
     """
     measures = materialize(customer_measures(orders), "customer_measures")
-    scored = rfm_scores(measures, **limits)
+    scored = rfm_scores(measures)
     return with_recency(scored).withColumn(
         "rfm_segment", rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     )
@@ -228,26 +239,40 @@ FUNNEL_RATES = (
 )
 
 
-def session_rollup(events: DataFrame) -> DataFrame:
-    """One row per session: month of its first event and the stages it reached."""
+def _sessions(events: DataFrame, *also: str) -> DataFrame:
+    """Per session, and per value of the columns ``also``: first event, stages reached, events."""
     reached = [
         F.max(F.col("event_type").isin(*types).cast("int")).alias(stage)
         for stage, types in FUNNEL_STAGES.items()
     ]
-    return events.groupBy("session_id").agg(
-        month_start(F.min("event_at")).alias("event_month"),
-        *reached,
-        F.count("*").alias("total_events"),
-        F.max("traffic_source").alias("traffic_source"),
-        F.max("browser").alias("browser"),
+    return events.groupBy("session_id", *also).agg(
+        F.min("event_at").alias("began"), *reached, F.count("*").alias("total_events")
+    )
+
+
+def session_rollup(events: DataFrame) -> DataFrame:
+    """One row per session: month of its first event and the stages it reached.
+
+    Grouping by the texts first counts events by hash, and leaves their maxima a row or so per session.
+    """
+    return (
+        _sessions(events, "traffic_source", "browser")
+        .groupBy("session_id")
+        .agg(
+            month_start(F.min("began")).alias("event_month"),
+            *[F.max(stage).alias(stage) for stage in FUNNEL_STAGES],
+            F.sum("total_events").alias("total_events"),
+            F.max("traffic_source").alias("traffic_source"),
+            F.max("browser").alias("browser"),
+        )
     )
 
 
 def int_funnel(events: DataFrame) -> DataFrame:
     """Sessions, stage counts and step rates per month."""
     monthly = (
-        session_rollup(events)
-        .groupBy("event_month")
+        _sessions(events)
+        .groupBy(month_start(F.col("began")).alias("event_month"))
         .agg(
             F.count("*").alias("total_sessions"),
             *[F.sum(stage).alias(stage) for stage in FUNNEL_STAGES],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
 from basketry.functions.columns import percent, without_nan
-from basketry.operators.ranking import SINGLE_TASK_ROWS, extremes, order_statistics
+from basketry.operators.ranking import extremes, order_statistics
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
@@ -91,13 +91,12 @@ def describe(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     approximate: bool = False,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles per numeric column, to 2 places.
 
     Quartiles interpolate linearly between neighbouring values. Spark's exact
-    ``percentile`` gathers every distinct value of a column in one task, so beyond
-    ``single_task_rows`` they come from ``order_statistics``; ``approximate``
+    ``percentile`` gathers every distinct value of a column in one task, so
+    they come from ``order_statistics``; ``approximate``
     uses Spark's percentile sketch instead.
     """
     columns = list(columns or numeric_columns(df))
@@ -122,8 +121,6 @@ def describe(
 
     if approximate:
         return summary(lambda c, p: F.percentile_approx(_cell(c), p, 10_000))
-    if single_task_rows and numbers.count() <= single_task_rows:
-        return summary(lambda c, p: F.percentile(_cell(c), p))
     exact = _exact_quantiles(numbers, columns, list(QUARTILES.values()))
     return summary(lambda c, p: F.lit(exact[c][p]).cast("double"))
 

@@ -21,11 +21,8 @@ from pyspark.sql import functions as F
 
 from basketry.functions.columns import without_nan
 
-# Rows up to which a caller may ask for a plain one-task window; by default it is never used,
-# so that tables of every size are ranked in one way.
-SINGLE_TASK_ROWS = 0
 NUMBER_BUCKETS = 2048
-TIE_STEP = 3  # characters resolved per round
+TIE_STEP = 2  # bytes resolved per round: at most 65,536 buckets
 
 
 # ------------------------------------------------------ order statistics
@@ -44,11 +41,22 @@ class _Span:
     def holds(self) -> Column:
         return F.col(self.column).between(self.low, self.high)
 
+    def many_magnitudes(self) -> bool:
+        ends = sorted((abs(self.low), abs(self.high)))
+        return self.low <= 0 <= self.high or ends[1] / NUMBER_BUCKETS > ends[0]
+
     def bucket(self) -> Column:
-        """Place of a value on an even grid over the interval, in value order.
+        """Place of a value on a grid over the interval, in value order; every step is monotonic.
 
-        Every step is monotonic. Half the scale where the width is no finite double.
+        An interval over many magnitudes is cut by sign and exponent first, about 2,100 buckets of each
+        sign. The even grid after that gains 11 of the 53 bits of a double per round, so the
+        number of rounds does not depend on the values.
         """
+        if self.many_magnitudes():
+            value = F.col(self.column)
+            exponent = F.floor(F.log2(F.abs(value))) + 1100
+            return F.when(value > 0, exponent).when(value < 0, -exponent).otherwise(F.lit(0))
+        # Half the scale where the width is no finite double.
         scale = 1.0 if math.isfinite(self.high - self.low) else 0.5
         start, width = self.low * scale, self.high * scale - self.low * scale
         place = (F.col(self.column) * scale - start) / width * NUMBER_BUCKETS
@@ -61,16 +69,21 @@ class _Prefix:
 
     column: str
     key: float | None
-    start: str
+    start: bytes
     below: int  # rows with this key and a smaller tie text
     ranks: tuple[int, ...]
 
     def holds(self) -> Column:
         same = F.col(self.column).eqNullSafe(F.lit(self.key).cast("double"))
-        return same & F.startswith(F.col("tie"), F.lit(self.start))
+        return same & F.startswith(_bytes(F.col("tie")), F.lit(self.start))
 
     def bucket(self) -> Column:
-        return F.substring("tie", len(self.start) + 1, TIE_STEP)
+        return F.substring(_bytes(F.col("tie")), len(self.start) + 1, TIE_STEP)
+
+
+def _bytes(text: Column) -> Column:
+    """UTF-8, whose byte order is that of Spark's strings."""
+    return text.cast("binary")
 
 
 def _histogram(
@@ -177,18 +190,18 @@ def _tie_texts(
 ) -> dict[tuple[str, float | None, int], str]:
     """Exact tie texts at ranks among the rows sharing a (column, key).
 
-    Works along the text, a few characters per round: rows sharing the known start
-    are counted by their next characters. All texts start with ``common``.
+    Works along the text, two bytes per round: rows sharing the known start
+    are counted by their next bytes. All texts start with ``common``.
     """
     found: dict[tuple[str, float | None, int], str] = {}
-    spans = [_Prefix(*place, common, 0, tuple(wanted)) for place, wanted in ranks.items()]
+    spans = [_Prefix(*place, common.encode(), 0, tuple(wanted)) for place, wanted in ranks.items()]
     while spans:
         longer: dict[tuple, list[int]] = {}
         for hit in _pick_buckets(_histogram(keyed, spans, False), spans):
             parent = spans[hit.span]
-            text, rank = parent.start + hit.bucket, parent.below + hit.target
+            text, rank = parent.start + bytes(hit.bucket), parent.below + hit.target
             if len(hit.bucket) < TIE_STEP:
-                found[parent.column, parent.key, rank] = text
+                found[parent.column, parent.key, rank] = text.decode()
             else:
                 key = (parent.column, parent.key, text, parent.below + hit.before)
                 longer.setdefault(key, []).append(rank)
@@ -244,7 +257,6 @@ def global_ntile(
     scores: Sequence[Score],
     tie: str,
     tiles: int = 5,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add NTILE columns over the whole table, ties broken by a unique text column.
 
@@ -262,9 +274,6 @@ def global_ntile(
         F.max("tie").alias("tie_high"),
         *extremes(list(columns.values())),
     ).first()
-    if facts["rows"] <= single_task_rows:
-        return df.select("*", *[_window_tile(s, tie, tiles).alias(s.name) for s in scores])
-
     cuts = _find_cuts(keyed, scores, columns, facts, tile_starts(facts["rows"], tiles))
     # A cut at the first of the rows sharing its key needs no tie text.
     inner: dict[tuple[str, float | None], list[int]] = {}
@@ -307,9 +316,3 @@ def _find_cuts(
                 missing_from = present[column] if score.nulls_last else 0
                 cuts.append(_Cut(score, column, None, start - missing_from))
     return cuts
-
-
-def _window_tile(score: Score, tie: str, tiles: int) -> Column:
-    key = score.number
-    first = key.asc_nulls_last() if score.nulls_last else key.asc_nulls_first()
-    return F.ntile(tiles).over(Window.orderBy(first, F.col(tie).asc_nulls_first())).cast("long")

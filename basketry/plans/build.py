@@ -24,6 +24,10 @@ STAGING_MODELS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 }
 
 
+class FailedChecks(Exception):
+    """Data checks with failures, after a build."""
+
+
 @dataclass
 class Build:
     """Everything one run produced."""
@@ -52,13 +56,16 @@ def run_pipeline(
     spark: SparkSession,
     source: str | Mapping[str, DataFrame],
     out: str | None = None,
+    check: bool = True,
 ) -> Build:
     """Build all models from a source folder (or ready frames) and publish them.
 
     Marts go to Parquet under ``out``, or to the catalog without it. The orders
     mart is written first and read back by the marts that use it, so the
     enrichment joins run once. Marts that do not depend on each other are written
-    side by side, which fills the tail of one job with tasks of the next.
+    side by side, which fills the tail of one job with tasks of the next. Last come
+    the data checks; if one has failures, :class:`FailedChecks` names it. The marts stay
+    for inspection. ``check=False`` leaves the checks to :meth:`Build.run_checks`.
     """
     tune(spark)
     if isinstance(source, str):
@@ -99,7 +106,13 @@ def run_pipeline(
             lambda: marts.mart_product_performance(items, products, fct),
         ),
     )
-    return Build(sources, views, warehouse)
+    build = Build(sources, views, warehouse)
+    if check:
+        # One row per check.
+        failed = build.run_checks().where("failures > 0").collect()
+        if failed:
+            raise FailedChecks("; ".join(str(row) for row in failed))
+    return build
 
 
 def _side_by_side(spark: SparkSession, *actions: Callable[[], None]) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from basketry.schemas import DECLARED_ONLY, SOURCE_SCHEMAS
 
@@ -48,22 +49,23 @@ def _cell(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scan a CSV file with a header, inferring each column's type from all its cells.
 
     A column is whole numbers (bigint), numbers (double), booleans or text. As in a
     pandas frame, whole numbers with missing cells become doubles and booleans with
-    missing cells stay text. ``multi_line`` allows line breaks inside quotes, at the
-    price of reading each file in one task.
+    missing cells stay text. Quoted cells may hold line breaks, at the price of reading
+    each file in one task; large files without any are read in pieces with
+    ``multi_line=False``. Short rows are filled up with missing cells; a row with a cell
+    beyond the header is an error.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    names = raw.columns
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    names = reader.csv(path).columns
+    beyond = "_beyond" + "_" * max(map(len, names), default=0)
+    raw = reader.schema(StructType([StructField(c, StringType()) for c in [*names, beyond]])).csv(path)
+    more = raw.where(_cell(beyond).isNotNull()).limit(1).collect()
+    if more:
+        raise ValueError(f"{path}: more cells than the header has, in {tuple(more[0])}")
     cells = raw.select(
         *[F.when(~_cell(c).isin(*MISSING_TOKENS), _cell(c)).alias(c) for c in names]
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import kpis
-from basketry.plans.build import run_pipeline
+from basketry.plans.build import FailedChecks, run_pipeline
 from basketry.plans.scratch import materialize, scratch_dir
 from basketry.schemas import SOURCE_SCHEMAS
 from basketry.sources.readers import read_source, register_declared
@@ -42,6 +42,13 @@ def test_only_known_checks_fail(build):
     assert all(r.failures == 0 for r in results)
 
 
+def test_a_repeated_order_fails_the_build(spark, build, tmp_path):
+    orders = build.sources["orders"]
+    twice = {**build.sources, "orders": orders.unionByName(orders.limit(1))}
+    with pytest.raises(FailedChecks, match="order_id"):
+        run_pipeline(spark, twice, str(tmp_path))
+
+
 def test_invariants(build):
     fct, dim = build.mart("fct_orders"), build.mart("dim_customers")
     assert fct.where("abs(gross_revenue - returned_revenue - net_revenue) > 1e-9").isEmpty()

@@ -134,13 +134,12 @@ def test_customer_measures(spark):
     assert (a["state"], a["traffic_source"]) == ("Ohio", "Search")
 
 
-@pytest.mark.parametrize("limits", [{}, {"single_task_rows": 0}], ids=["window", "counting"])
-def test_scores_and_segments(spark, limits):
+def test_scores_and_segments(spark):
     """Ten customers, all with one order: frequency ties fall to the user id."""
     orders = orders_frame(spark, [
         (str(i), f"u{i}", "Complete", date(2023, 1, 1 + i), 100.0 - i, False) for i in range(10)
     ])
-    got = rows_by(intermediate.int_customer_stats(orders, **limits), "user_id")
+    got = rows_by(intermediate.int_customer_stats(orders), "user_id")
     scores = [(got[f"u{i}"]["r_score"], got[f"u{i}"]["f_score"], got[f"u{i}"]["m_score"])
               for i in range(10)]
     assert scores == [(1 + i // 2, 1 + i // 2, 5 - i // 2) for i in range(10)]

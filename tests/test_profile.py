@@ -55,10 +55,9 @@ def test_kinds(df):
     }
 
 
-@pytest.mark.parametrize("limits", [{}, {"single_task_rows": 0}], ids=["percentile", "counting"])
-def test_describe(df, frame, limits):
+def test_describe(df, frame):
     expected = frame.describe().round(2)
-    got = rows_by(profile.describe(df, **limits), "column_name")
+    got = rows_by(profile.describe(df), "column_name")
     assert list(got) == ["key", "value", "flat"]
     names = {"count": "count", "mean": "mean", "std": "std", "min": "min", "25%": "p25",
              "50%": "p50", "75%": "p75", "max": "max"}
@@ -69,9 +68,8 @@ def test_describe(df, frame, limits):
 
 def test_describe_without_values(spark):
     empty = spark.createDataFrame([(None,), (None,)], "v double")
-    for limits in ({}, {"single_task_rows": 0}):
-        row = profile.describe(empty, **limits).first()
-        assert (row["count"], row.mean, row.p50, row.max) == (0, None, None, None)
+    row = profile.describe(empty).first()
+    assert (row["count"], row.mean, row.p50, row.max) == (0, None, None, None)
 
 
 def test_describe_approximate(df, frame):
@@ -190,4 +188,14 @@ def test_infinities_are_numbers(spark, tmp_path):
 def test_line_breaks_in_quotes(spark, tmp_path):
     path = tmp_path / "lines.csv"
     path.write_text('a,b\n1,"two\nlines"\n')
-    assert read_csv(spark, str(path), multi_line=True).first().b == "two\nlines"
+    assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [(1, "two\nlines")]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_short_and_long_rows(spark, tmp_path, multi_line):
+    path = tmp_path / "rows.csv"
+    path.write_text("a,b\n1,2\n3\n")
+    assert [tuple(r) for r in read_csv(spark, str(path), multi_line).collect()] == [(1, 2.0), (3, None)]
+    path.write_text("a,b\n1,2\n1,2,3\n")
+    with pytest.raises(ValueError, match="more cells"):
+        read_csv(spark, str(path), multi_line)

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from basketry.operators import ranking
 from basketry.operators.ranking import (
     Score,
     extremes,
@@ -32,7 +33,7 @@ def check(spark, rows, tiles):
         Score("last", F.col("key"), nulls_last=True),
         Score("down", -F.col("key")),
     ]
-    counted = global_ntile(df, scores, tie="id", tiles=tiles, single_task_rows=0)
+    counted = global_ntile(df, scores, tie="id", tiles=tiles)
     windows = {
         "w_up": Window.orderBy(F.col("key").asc_nulls_first(), F.col("id").asc_nulls_first()),
         "w_last": Window.orderBy(F.col("key").asc_nulls_last(), F.col("id").asc_nulls_first()),
@@ -93,7 +94,7 @@ def test_difficult_ties(spark, rows):
 
 def test_tile_sizes_differ_by_at_most_one(spark):
     df = spark.range(1003).select(F.col("id").cast("string").alias("id"), F.rand(3).alias("key"))
-    tiled = global_ntile(df, [Score("t", F.col("key"))], "id", 5, single_task_rows=0)
+    tiled = global_ntile(df, [Score("t", F.col("key"))], "id", 5)
     sizes = [r["count"] for r in tiled.groupBy("t").count().orderBy("t").collect()]
     assert sizes == [201, 201, 201, 200, 200]
 
@@ -122,9 +123,25 @@ def test_order_statistics(spark, values):
         assert below == int((values < value).sum())
 
 
+def test_rounds_are_bounded_over_all_magnitudes(spark, monkeypatch):
+    """151 values over 600 decades, and ties of 64 letters: few rounds, few buckets."""
+    histograms = []
+    count = ranking._histogram
+    monkeypatch.setattr(ranking, "_histogram", lambda *a: histograms.append(count(*a)) or histograms[-1])
+    values = [10.0**p for p in range(-300, 301, 4)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = order_statistics(df, {"v": list(range(0, 151, 10))}, df.agg(*extremes(["v"])).first().asDict())["v"]
+    assert all(found[r] == (values[r], r) for r in found) and len(histograms) <= 7
+    histograms.clear()
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"))
+    ids = ["".join(row) for row in np.random.default_rng(2).choice(letters, (4000, 12))]
+    check(spark, [(i, 1.0) for i in ids], 5)
+    assert max(h.groupBy("span").count().agg(F.max("count")).first()[0] or 0 for h in histograms) <= 64 * 64
+
+
 def test_ranked_rows_are_never_shuffled(spark):
     """The result is a projection: no exchange, no sort, no window."""
     df = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.rand(5).alias("key"))
-    tiled = global_ntile(df, [Score("t", F.col("key"))], "id", 5, single_task_rows=0)
+    tiled = global_ntile(df, [Score("t", F.col("key"))], "id", 5)
     plan = tiled._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
