@@ -121,7 +121,7 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 5, rate: float
 
 
 def train(labelled: DataFrame) -> LanguageModel:
-    """A model from ``labelled`` (doc_id, text, lang), of which ``SAMPLE_ROWS`` rows a language, by hash, are read.
+    """A model from ``labelled`` (doc_id, text, lang), of which ``SAMPLE_ROWS`` rows, the first by hash, are read.
 
     Rows without text or language are left out; without any row there is no language to name.
     """

@@ -2,6 +2,48 @@
 
 from __future__ import annotations
 
+# Weights 3, 1, 2 repeating; 150% of all words; at most twice a source. What sources at their limit
+# leave is shared among those after them, in ascending order of size per weight.
+MIX_SOURCES = r"""
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+    FROM documents
+), sizes AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighted AS (
+    SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+    FROM sizes
+), levels AS (
+    SELECT *, source_size / weight AS ratio, (
+        1.5::DOUBLE * sum(source_size) OVER ()
+        - coalesce(sum(2 * source_size) OVER (
+            ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    ) / sum(weight) OVER (
+        ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighted
+), targets AS (
+    SELECT source, source_size, least(
+        weight * (SELECT level FROM levels WHERE level * weight < 2 * source_size ORDER BY ratio, level LIMIT 1),
+        2 * source_size)::DOUBLE AS target
+    FROM levels
+), expected AS (
+    SELECT doc_id, sized.source, size, source_size, target,
+        CASE WHEN source_size > 0 THEN least(round(16777216 * target / source_size)::BIGINT, 2 * 16777216) ELSE 0 END AS units,
+        greatest(length(bin(size)) - 4, 0) AS shift,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % 256 AS block,
+        ('0x' || substr(md5('mix' || coalesce(sized.source, '')), 1, 6))::BIGINT AS start
+    FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+), crossed AS (
+    SELECT *, start + sum(units) OVER (
+        PARTITION BY source ORDER BY shift * 16 + (size >> shift), block, size, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto
+    FROM expected
+)
+SELECT doc_id, size, source_size, target,
+    (upto // 16777216 - (upto - units) // 16777216)::BIGINT AS copies,
+    ((upto // 16777216 - (upto - units) // 16777216) * size)::BIGINT AS taken
+FROM crossed
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op2_mix_sources": MIX_SOURCES}

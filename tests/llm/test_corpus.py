@@ -159,6 +159,23 @@ def test_mix_meets_its_targets(spark):
     assert sorted(rows) == sorted(mixing.mix(documents.repartition(5)).collect())
 
 
+def test_mix_matches_its_sql(spark, awkward, tmp_path):
+    """Documents of the sample, and NULL ids, sources and texts; a repeated doc_id must be equal in text for the SQL."""
+    import duckdb
+
+    from basketry.llm.oracle import llm_oracles
+    from basketry.llm.queries import llm_queries
+
+    awkward.coalesce(1).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    for folder in (SMALL, f"{tmp_path}/odd"):
+        got = llm_queries()["op2_mix_sources"](spark, folder)
+        with duckdb.connect() as connection:
+            files = f"{folder}/documents.parquet" + ("" if folder == SMALL else "/*.parquet")
+            connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{files}')")
+            expected = connection.sql(f"SELECT {', '.join(got.columns)} FROM ({llm_oracles()['op2_mix_sources']})").fetchall()
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_mixed_rows_are_whole(awkward):
     mixed = mixing.mixed_documents(awkward)
     assert mixed.columns == awkward.columns
