@@ -9,43 +9,73 @@ bucket, while a large group of copies costs little more than its star.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.storage import stored
+from basketry.llm.storage import Steps, stored
 
 
-def components(links: DataFrame) -> DataFrame:
+FINISH_LINKS = 100_000
+
+
+def components(links: DataFrame, finish: int = FINISH_LINKS) -> DataFrame:
     """``(id, component)`` of every item in ``links`` (a, b): the smallest item it is connected with.
 
-    Union by contraction: each item hangs itself onto its smallest neighbour, pointers are
-    shortened once, and the links are redrawn between what the pointers show. At least every item
-    that is not the smallest among its neighbours disappears from the links in a round, so few
-    rounds are needed; all of them are joins and groupings.
+    Distributed union by random contraction. In a round each item joins the one of itself and its
+    neighbours that a hash of this round puts first, and the links are redrawn between those. An
+    item goes on only if it was somebody's choice, so a constant share of any graph goes in a round,
+    and the number of rounds follows the logarithm of its size, in long chains too. Once at most
+    ``finish`` links are left, a single task unites them. The rounds are then composed from the last,
+    smallest one back to the first. Links with a NULL end and links of an item with itself count for nothing.
     """
-    edges = stored(links.select("a", "b").where("a <> b").distinct())
-    labels = None
-    while not edges.isEmpty():
+    steps, result = Steps(links.sparkSession), Steps(links.sparkSession)
+    edges = steps.keep(links.select("a", "b").where("a <> b").distinct())
+    chosen = []
+    while edges.count() > finish:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = both.groupBy(F.col("a").alias("id")).agg(F.least("a", F.min("b")).alias("up"))
-        above = parent.select(F.col("id").alias("up"), F.col("up").alias("top"))
-        pointer = stored(parent.join(above, "up").select("id", "top"))
-        if labels is None:
-            labels = pointer.withColumnRenamed("top", "component")
-        else:
-            moved = labels.join(pointer.withColumnRenamed("id", "component"), "component", "left")
-            labels = stored(moved.select("id", F.coalesce("top", "component").alias("component")))
-        at_a = pointer.select(F.col("id").alias("a"), F.col("top").alias("to_a"))
-        at_b = pointer.select(F.col("id").alias("b"), F.col("top").alias("to_b"))
+        first = [F.xxhash64(F.lit(len(chosen)), c) for c in ("a", "b")]
+        choice = both.groupBy("a").agg(F.min_by("b", first[1]).alias("b"))
+        top = F.when(first[1] < first[0], F.col("b")).otherwise(F.col("a"))
+        chosen.append(steps.keep(choice.select(F.col("a").alias("id"), top.alias("top"))))
+        at_a = chosen[-1].select(F.col("id").alias("a"), F.col("top").alias("to_a"))
+        at_b = chosen[-1].select(F.col("id").alias("b"), F.col("top").alias("to_b"))
         redrawn = edges.join(at_a, "a").join(at_b, "b").where("to_a <> to_b")
-        edges = stored(redrawn.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct())
-    if labels is None:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        low, high = F.least("to_a", "to_b"), F.greatest("to_a", "to_b")
+        edges = steps.keep(redrawn.select(low.alias("a"), high.alias("b")).distinct())
+    kind = edges.schema["a"].dataType.simpleString()
+    united = steps.keep(edges.coalesce(1).mapInArrow(_unite, f"id {kind}, top {kind}"))
+    for choice in reversed(chosen):
+        above = united.select(F.col("id").alias("top"), F.col("top").alias("end"))
+        ends = choice.join(above, "top", "left").select("id", F.coalesce("end", "top").alias("top"))
+        united = steps.keep(ends)
+    smallest = united.groupBy("top").agg(F.min("id").alias("component"))
+    labels = result.keep(united.join(smallest, "top").select("id", "component"))
+    steps.clear()
     return labels
 
 
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the links of one task: each item with one item of its component."""
+    up: dict = {}
+
+    def top(item):
+        while up.setdefault(item, item) != item:
+            up[item] = item = up[up[item]]
+        return item
+
+    kind = None
+    for batch in batches:
+        kind = batch.column(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            up[top(a)] = top(b)
+    if up:
+        items = list(up)
+        yield pa.RecordBatch.from_arrays([pa.array(items, kind), pa.array([top(i) for i in items], kind)], ["id", "top"])
+
+
 def shared_buckets(rows: DataFrame, cost: Column | None = None) -> DataFrame:
     """The rows of (bucket, id, ...) whose bucket holds two items at least, with its centre, ``first``.
 

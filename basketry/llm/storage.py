@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,27 @@ def stored(frame: DataFrame) -> DataFrame:
     gc.collect()
     result.sparkSession.sparkContext._jvm.System.gc()
     return result
+
+
+class Steps:
+    """Intermediate tables of a loop, as Parquet in the shared folder.
+
+    A plain scan knows nothing of the plans before it, so a round costs the same planning as the first.
+    """
+
+    def __init__(self, spark: SparkSession):
+        use_checkpoint_folder(spark)
+        self.spark = spark
+        self.folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/steps-{uuid.uuid4().hex}"
+        self.made = 0
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.made}"
+        self.made += 1
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove the tables; nothing read from them may be used afterwards."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

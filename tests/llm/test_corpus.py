@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -15,6 +16,7 @@ from basketry.llm import html_text, language, licences, mixing, nearest, pieces,
 from basketry.llm.graph import components
 from basketry.llm.line_dedup import dedup_lines, line_classes
 from basketry.llm.shingle_join import near_documents, one_per_component
+from basketry.llm.storage import Steps
 
 SMALL = "/root/testdata/sf0.001"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -82,6 +84,39 @@ def test_components_of_a_path_and_a_star(spark):
     assert found == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 120)}}
 
 
+@pytest.mark.parametrize("length, rounds", [(30, 12), (300, 18), (3000, 26)])
+def test_components_of_chains_take_few_rounds(spark, length, rounds, monkeypatch):
+    made = []
+    keep = Steps.keep
+    monkeypatch.setattr(Steps, "keep", lambda self, frame: made.append(1) or keep(self, frame))
+    names = list(range(length + 1))
+    random.Random(length).shuffle(names)
+    for ids in (list(range(length + 1)), names):
+        made.clear()
+        links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+        begin = time.perf_counter()
+        found = components(links, finish=2)
+        assert {r.component for r in found.collect()} == {0} and found.count() == length + 1
+        assert time.perf_counter() - begin < 120
+        # Each round stores its choice, its links and its ends; three tables come on top.
+        assert len(made) <= 3 * rounds + 3
+
+
+def test_components_are_those_of_any_graph(spark):
+    draw = random.Random(3)
+    links = [(draw.randrange(400), draw.randrange(400)) for _ in range(260)] + [(None, 3), (4, None), (7, 7)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    up = list(range(400))
+    for a, b in links:
+        if a is not None and b is not None:
+            low, high = sorted((up[a], up[b]))
+            up = [low if u == high else u for u in up]
+    linked = {i for a, b in links for i in (a, b) if a is not None and b is not None and a != b}
+    expected = {i: up[i] for i in linked}
+    assert dict(components(frame, finish=2).collect()) == dict(components(frame).collect()) == expected
+    assert components(frame.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("k, percent", [(3, 90), (5, 80)])
 def test_shingle_join_is_exact(spark, awkward, k, percent):
     got = near_documents(awkward, words_per_shingle=k, threshold=str(percent / 100)).collect()
