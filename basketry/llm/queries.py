@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import html_text, language, licences, nearest, pieces, quality, syncmers
+from basketry.llm import html_text, language, licences, nearest, periodic, pieces, quality, syncmers
 from basketry.llm.line_dedup import line_classes
 from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
@@ -93,6 +93,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", _held_out(5, 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = periodic.with_planted_repeats(_table(spark, folder, "documents"))
+    return periodic.run_digest(periodic.collapse_runs(documents))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -105,4 +110,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": op8_pieces,
         "op9_shingle_join": op9_shingle_join,
         "op10_language_id": op10_language_id,
+        "op11_periodic_runs": op11_periodic_runs,
     }

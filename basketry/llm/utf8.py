@@ -72,8 +72,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of a run of texts, lower-cased in A-Z, and where each text's words begin."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a run of texts, lower-cased in A-Z unless told not to, and where each text's words begin."""
     inside = ~IS_SPACE[data]
     before = np.zeros(len(data), bool)
     before[1:] = inside[:-1]
@@ -84,7 +84,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[full[full > 0] - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    return span_hashes(LOWER[data], starts, ends), np.searchsorted(starts, offsets)
+    return span_hashes(LOWER[data] if lower else data, starts, ends), np.searchsorted(starts, offsets)
 
 
 def word_shingles(hashes: np.ndarray, k: int) -> np.ndarray:
