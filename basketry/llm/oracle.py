@@ -45,5 +45,38 @@ FROM crossed
 """
 
 
+# Windows of items against windows of documents of the same length.
+BENCHMARK_LEAKS = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS k, item_id::VARCHAR AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item, n, array_to_string(words[i:i + n - 1], ' ') AS seq
+    FROM (SELECT item, words, least(len(words), 10) AS n, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i FROM items WHERE len(words) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+    SELECT r, n, i, array_to_string(words[i:i + n - 1], ' ') AS seq
+    FROM (SELECT r, n, words, unnest(range(1, len(words) - n + 2)) AS i FROM docs, lengths WHERE len(words) >= n)
+), met AS (
+    SELECT r, i, n, item FROM doc_windows JOIN item_windows USING (n, seq)
+), hit AS (
+    SELECT r, count(*) AS n_hit
+    FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT r, i, n FROM met)) GROUP BY r
+), listed AS (
+    SELECT r, count(item) AS n_items, coalesce(string_agg(item, ',' ORDER BY item), '') AS list
+    FROM (SELECT DISTINCT r, item FROM met WHERE item IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_mix_sources": MIX_SOURCES}
+    return {"op2_mix_sources": MIX_SOURCES, "op12_benchmark_leaks": BENCHMARK_LEAKS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import html_text, language, licences, nearest, periodic, pieces, quality, syncmers
+from basketry.llm import benchmark_leaks, html_text, language, licences, nearest, periodic, pieces, quality, syncmers
 from basketry.llm.line_dedup import line_classes
 from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
@@ -98,6 +98,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.run_digest(periodic.collapse_runs(documents))
 
 
+def op12_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    documents, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return benchmark_leaks.leak_digest(benchmark_leaks.match_items(documents, items))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -111,4 +116,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_shingle_join": op9_shingle_join,
         "op10_language_id": op10_language_id,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_benchmark_leaks": op12_benchmark_leaks,
     }
