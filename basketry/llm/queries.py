@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import benchmark_leaks, html_text, language, licences, nearest, periodic, pieces, quality, syncmers
+from basketry.llm import benchmark_leaks, html_text, language, licences, nearest, periodic, pieces, quality, spellings, syncmers
 from basketry.llm.line_dedup import line_classes
 from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
@@ -103,6 +103,11 @@ def op12_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return benchmark_leaks.leak_digest(benchmark_leaks.match_items(documents, items))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spellings.vocabulary(_table(spark, folder, "documents"), edit_every=199)
+    return spellings.spelling_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -117,4 +122,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language_id": op10_language_id,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_benchmark_leaks": op12_benchmark_leaks,
+        "op13_spelling_variants": op13_spelling_variants,
     }
