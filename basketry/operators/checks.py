@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketry.operators.intermediate import RFM_SEGMENTS
@@ -99,6 +99,22 @@ def _key_checks(df: DataFrame, column: str, checks: Sequence[Check]) -> DataFram
     return counts.select(F.inline(F.array(*[_labelled(c, F.col(c.kind)) for c in checks])))
 
 
+def row_checks_of(table: str, checks: Sequence[Check] = ALL_CHECKS) -> list[Check]:
+    """The checks of a table that look at single rows, and so can be counted while it is written or read for another use."""
+    return [c for c in checks if c.table == table and c.kind != UNIQUE]
+
+
+def watched(df: DataFrame, table: str, observation: Observation) -> DataFrame:
+    """The same rows; whatever action they pass counts them and the failures of the table's row checks."""
+    failures = [_failure(c).alias(f"c{i}") for i, c in enumerate(row_checks_of(table))]
+    return df.observe(observation, F.count("*").alias("rows"), *failures)
+
+
+def observed_failures(table: str, counts: Mapping[str, int]) -> list[tuple[str, str, str, int]]:
+    """What :func:`watched` counted, as rows of check, table, column, failures."""
+    return [(c.kind, c.table, c.column, counts[f"c{i}"]) for i, c in enumerate(row_checks_of(table))]
+
+
 def check_not_null(df: DataFrame, column: str, table: str = "") -> DataFrame:
     return _row_checks(df, [Check(NOT_NULL, table, column)])
 

@@ -15,7 +15,7 @@ from basketry.functions.columns import (
     percent,
 )
 from basketry.operators.ranking import Score, global_ntile
-from basketry.plans.scratch import materialize
+from basketry.plans.scratch import Scratch, materialize
 
 # Fixed values.
 COMPLETE = "Complete"
@@ -207,12 +207,13 @@ def rfm_scores(measures: DataFrame) -> DataFrame:
     )
 
 
-def int_customer_stats(orders: DataFrame) -> DataFrame:
+def int_customer_stats(orders: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """RFM measures, scores and segment per customer with a completed order.
 
-    The measures are stored once, because scoring reads them several times.
+    The measures are stored once, because scoring reads them several times; with ``scratch`` they
+    last as long as that does.
     """
-    measures = materialize(customer_measures(orders), "customer_measures")
+    measures = materialize(customer_measures(orders), "customer_measures", scratch)
     scored = rfm_scores(measures)
     return with_recency(scored).withColumn(
         "rfm_segment", rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
