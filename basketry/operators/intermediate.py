@@ -21,6 +21,13 @@ from basketry.plans.scratch import Scratch, materialize
 COMPLETE = "Complete"
 TIER_CEILINGS = ((50, "Low (<$50)"), (150, "Mid ($50-150)"), (300, "High ($150-300)"))
 TOP_TIER = "Premium (>$300)"
+ENRICHED_COLUMNS = (
+    "order_id", "user_id", "customer_state", "customer_city", "age_group", "gender",
+    "traffic_source", "order_status", "order_date", "order_month", "created_at", "shipped_at",
+    "delivered_at", "returned_at", "fulfillment_days", "is_returned", "item_count",
+    "gross_revenue", "returned_revenue", "net_revenue", "total_cost", "gross_profit",
+    "unique_products", "order_value_tier",
+)
 RFM_SEGMENTS = (
     "Champions",
     "Loyal Customers",
@@ -95,7 +102,9 @@ def int_orders_enriched(
         "user_id",
         F.col("state").alias("customer_state"),
         F.col("city").alias("customer_city"),
-        *["age_group", "gender", "traffic_source"],
+        "age_group",
+        "gender",
+        "traffic_source",
     )
     joined = (
         # The order's own gender gives way to the customer's.
@@ -106,19 +115,17 @@ def int_orders_enriched(
     gross, returned, cost = (
         F.coalesce(F.col(c), F.lit(0.0)) for c in ("gross_revenue", "returned_revenue", "total_cost")
     )
-    return joined.select(
-        *["order_id", "user_id", "customer_state", "customer_city", "age_group", "gender"],
-        *["traffic_source", "order_status", "order_date", "order_month", "created_at"],
-        *["shipped_at", "delivered_at", "returned_at", "fulfillment_days", "is_returned"],
-        F.coalesce("item_count", F.lit(0)).alias("item_count"),
-        gross.alias("gross_revenue"),
-        returned.alias("returned_revenue"),
-        (gross - returned).alias("net_revenue"),
-        cost.alias("total_cost"),
-        (gross - cost).alias("gross_profit"),
-        F.coalesce("unique_products", F.lit(0)).alias("unique_products"),
-        order_value_tier(gross).alias("order_value_tier"),
-    )
+    amounts = {
+        "item_count": F.coalesce("item_count", F.lit(0)),
+        "gross_revenue": gross,
+        "returned_revenue": returned,
+        "net_revenue": gross - returned,
+        "total_cost": cost,
+        "gross_profit": gross - cost,
+        "unique_products": F.coalesce("unique_products", F.lit(0)),
+        "order_value_tier": order_value_tier(gross),
+    }
+    return joined.withColumns(amounts).select(*ENRICHED_COLUMNS)
 
 
 # ------------------------------------------------------------- customers

@@ -81,12 +81,97 @@ def revenue_by_gender(fct: DataFrame) -> DataFrame:
 
 def revenue_by_age_group(fct: DataFrame) -> DataFrame:
     """In age order. Customers of unknown age come last, under a NULL group."""
+    return _in_age_order(_revenue_by(fct, "age_group"))
+
+
+def _in_age_order(groups: DataFrame) -> DataFrame:
     rank = F.array_position(F.array(*[F.lit(g) for g in AGE_GROUPS]), F.col("age_group"))
-    return (
-        _revenue_by(fct, "age_group")
-        .orderBy(F.nullif(rank, F.lit(0)).asc_nulls_last())
-        .select(F.when(rank > 0, F.col("age_group")).alias("age_group"), "revenue")
+    return groups.orderBy(F.nullif(rank, F.lit(0)).asc_nulls_last()).select(
+        F.when(rank > 0, F.col("age_group")).alias("age_group"), "revenue"
+    )
+
+
+# Panels of the sales page and the order column that each groups by.
+SALES_PANELS = {
+    "monthly_revenue": "order_month",
+    "order_status_counts": "order_status",
+    "top_states_by_revenue": "customer_state",
+    "revenue_by_traffic_source": "traffic_source",
+    "revenue_by_gender": "gender",
+    "revenue_by_age_group": "age_group",
+}
+
+
+def sales_page(fct: DataFrame) -> DataFrame:
+    """The figures of all seven sales tables, from one read of the orders: a row per panel and label.
+
+    ``sales_kpis`` has one row without a label. Orders alike in all six columns are summed first, on
+    the map side; grouping sets then see a row per combination and not each order seven times. NULL
+    labels are left out, and but for the status panel so are labels without a completed order. Without any order there is no row.
+    """
+    keys = list(SALES_PANELS.values())
+    alike = fct.groupBy(*keys).agg(
+        F.count("*").alias("rows"),
+        F.count("order_id").alias("ids"),
+        F.sum("gross_revenue").alias("gross"),
+        F.count("gross_revenue").alias("priced"),
+        F.count("is_returned").alias("known"),
+        F.count_if("is_returned").alias("returned"),
+    )
+    done = is_completed()
+    sets = [[], *[[F.col(key)] for key in keys]]
+    sums = alike.groupingSets(sets, *keys).agg(
+        *[F.grouping(key).alias(f"without_{key}") for key in keys],
+        F.sum("rows").alias("total_orders"),
+        F.coalesce(F.sum(F.when(done, F.col("rows"))), F.lit(0)).alias("completed_orders"),
+        F.sum(F.when(done, F.col("ids"))).alias("orders"),
+        F.sum(F.when(done, F.col("gross"))).alias("revenue"),
+        F.sum(F.when(done, F.col("priced"))).alias("priced"),
+        F.sum("known").alias("known"),
+        F.sum("returned").alias("returned"),
+    )
+    panel, label = F.lit("sales_kpis"), F.lit(None).cast("string")
+    for name, key in SALES_PANELS.items():
+        here = F.col(f"without_{key}") == 0
+        panel = F.when(here, F.lit(name)).otherwise(panel)
+        label = F.when(here, F.col(key).cast("string")).otherwise(label)
+    rows = sums.select(
+        panel.alias("panel"), label.alias("label"), "total_orders", "completed_orders", "orders", "revenue",
+        ratio(F.col("revenue"), F.col("priced")).alias("avg_order_value"),
+        percent(F.col("returned"), F.col("known")).alias("return_rate_pct"),
     )
+    of_all, of_status = F.col("panel") == "sales_kpis", F.col("panel") == "order_status_counts"
+    return rows.where(of_all | (F.col("label").isNotNull() & (of_status | (F.col("completed_orders") > 0))))
+
+
+def sales_panels(page: DataFrame, states: int = 15) -> dict[str, DataFrame]:
+    """The seven sales tables out of a page, a few hundred rows; store the page first and orders are read once."""
+
+    def of(panel: str, *columns: Column | str) -> DataFrame:
+        return page.where(F.col("panel") == panel).select(*columns)
+
+    def by(panel: str, name: str) -> DataFrame:
+        return of(panel, F.col("label").alias(name), "revenue")
+
+    whole = of("sales_kpis", "*")
+    kpis = whole.agg(
+        F.coalesce(F.max("total_orders"), F.lit(0)).alias("total_orders"),
+        F.coalesce(F.max("completed_orders"), F.lit(0)).alias("completed_orders"),
+        F.coalesce(F.max("revenue"), F.lit(0.0)).alias("total_revenue"),
+        F.max("avg_order_value").alias("avg_order_value"),
+        F.max("return_rate_pct").alias("return_rate_pct"),
+    )
+    statuses = of("order_status_counts", F.col("label").alias("status"), F.col("total_orders").alias("count"))
+    months = of("monthly_revenue", F.col("label").cast("date").alias("order_month"), "revenue", "orders")
+    return {
+        "sales_kpis": kpis,
+        "monthly_revenue": months.orderBy("order_month"),
+        "order_status_counts": statuses.orderBy(F.desc("count"), "status"),
+        "top_states_by_revenue": _top(by("top_states_by_revenue", "state"), "revenue", states),
+        "revenue_by_traffic_source": by("revenue_by_traffic_source", "source"),
+        "revenue_by_gender": by("revenue_by_gender", "gender"),
+        "revenue_by_age_group": _in_age_order(by("revenue_by_age_group", "age_group")),
+    }
 
 
 # ------------------------------------------------------------- customers
@@ -185,14 +270,18 @@ def category_margin_reference(perf: DataFrame) -> DataFrame:
     return margins.agg(F.avg("avg_margin").alias("avg_margin"))
 
 
+# Fixed values.
+TOP_PRODUCTS_COLUMNS = (
+    "product_name", "category", "brand", "retail_price", "margin_pct", "total_units_sold",
+    "total_revenue", "avg_discount_pct", "return_rate_pct",
+)
+
+
 def top_products(perf: DataFrame, n: int = 20) -> DataFrame:
     return (
         perf.orderBy(F.desc("total_revenue"), "product_id")
         .limit(n)
-        .select(
-            *["product_name", "category", "brand", "retail_price", "margin_pct"],
-            *["total_units_sold", "total_revenue", "avg_discount_pct", "return_rate_pct"],
-        )
+        .select(*TOP_PRODUCTS_COLUMNS)
     )
 
 

@@ -21,6 +21,10 @@ DIM_CUSTOMERS_COLUMNS = (
     "first_order_date", "return_rate_pct", "returned_orders", "r_score", "f_score", "m_score",
     "rfm_segment", "age_group", "gender", "state", "traffic_source",
 )
+COHORT_RETENTION_COLUMNS = (
+    "cohort_month", "activity_month", "months_since_first", "active_users", "cohort_size",
+    "retention_pct",
+)
 MIN_ORDERS_PER_PRODUCT = 5
 
 
@@ -116,11 +120,8 @@ def mart_cohort_retention(orders: DataFrame) -> DataFrame:
         cohort_activity(orders)
         .where(F.col("cohort_month").isNotNull())
         .withColumn("cohort_size", size.over(Window.partitionBy("cohort_month")))
-        .select(
-            *["cohort_month", "activity_month", "months_since_first"],
-            *["active_users", "cohort_size"],
-            percent(F.col("active_users"), F.col("cohort_size"), 2).alias("retention_pct"),
-        )
+        .withColumn("retention_pct", percent(F.col("active_users"), F.col("cohort_size"), 2))
+        .select(*COHORT_RETENTION_COLUMNS)
         .orderBy("cohort_month", "months_since_first")
     )
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
 from basketry.functions.columns import percent, without_nan
 from basketry.operators.ranking import extremes, order_statistics
+from basketry.plans.scratch import Scratch, materialize
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
@@ -94,6 +97,7 @@ def describe(
 ) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles per numeric column, to 2 places.
 
+    A table without numeric columns is described by :func:`describe_text`.
     Quartiles interpolate linearly between neighbouring values. Spark's exact
     ``percentile`` gathers every distinct value of a column in one task, so
     they come from ``order_statistics``; ``approximate``
@@ -101,7 +105,7 @@ def describe(
     """
     columns = list(columns or numeric_columns(df))
     if not columns:
-        raise ValueError("no numeric column to describe")
+        return describe_text(df)
     numbers = df.select(*[_number(df, c).alias(c) for c in columns])
     def to_places(value: Column) -> Column:
         return F.bround(value, 2)
@@ -161,6 +165,64 @@ def _exact_quantiles(
     }
 
 
+# A most frequent value is looked up among so many equally frequent ones without a join.
+TIED_VALUES = 1_000
+
+
+def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, count, unique, top, freq) per text column: present cells, distinct ones, the most frequent.
+
+    Everything is exact. Cells that are no strings count as their text; of equally frequent values the smallest is
+    the top; a column without values has no top and a NULL freq. One pass counts the distinct values of all columns, by 128 bits of hash:
+    what is shuffled, and kept in the shared folder meanwhile, is a few bytes per distinct value, however long the texts. A second pass
+    looks up which text the most frequent hash stands for. Only where more than ``TIED_VALUES`` values are equally frequent, more than
+    once each, does their column take a join.
+    """
+    columns = list(columns or text_columns(df))
+    if not columns:
+        raise ValueError("no column to describe")
+    texts = df.select(*[_present(df, c).cast("string").alias(f"t{i}") for i, c in enumerate(columns)])
+    prints = {i: F.struct(F.xxhash64(f"t{i}").alias("a"), F.xxhash64(F.lit(i), F.col(f"t{i}")).alias("b")) for i in range(len(columns))}
+    cells = F.array(*[F.when(F.col(f"t{i}").isNotNull(), F.struct(F.lit(i).alias("i"), prints[i].alias("print"))) for i in prints])
+    each = texts.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("cell")).select("cell.i", "cell.print.a", "cell.print.b")
+    often = each.groupBy("i", "a", "b").agg(F.count("*").alias("n"))
+    with Scratch(df.sparkSession, "describe") as scratch:
+        often = materialize(often, "values", scratch)
+        per_column = often.groupBy("i").agg(F.sum("n").alias("count"), F.count("*").alias("unique"), F.max("n").alias("freq"))
+        # One row per column.
+        facts = {r.i: r for r in per_column.collect()}
+        tops = _tops(texts, prints, often, facts)
+    rows = [
+        (c, facts[i]["count"], facts[i].unique, tops[f"t{i}"], facts[i].freq) if i in facts else (c, 0, 0, None, None)
+        for i, c in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(rows, "column_name string, count long, unique long, top string, freq long")
+
+
+def _tops(texts: DataFrame, prints: Mapping[int, Column], often: DataFrame, facts: Mapping[int, Row]) -> dict[str, str]:
+    """The smallest of the most frequent texts of each column that has any."""
+    # Where no value repeats, all are equally frequent.
+    repeating = {i: r.freq for i, r in facts.items() if r.freq > 1}
+    most = often.where(reduce(lambda x, y: x | y, ((F.col("i") == i) & (F.col("n") == n) for i, n in repeating.items()), F.lit(False)))
+    tied = {r.i: r.n for r in most.groupBy("i").agg(F.count("*").alias("n")).collect()}
+    few = [i for i, n in tied.items() if n <= TIED_VALUES]
+    known: dict[int, list[Row]] = {}
+    for r in most.where(F.col("i").isin(*few)).collect() if few else []:
+        known.setdefault(r.i, []).append(r)
+
+    def is_top(i: int) -> Column:
+        a, b = prints[i].getField("a"), prints[i].getField("b")
+        return a.isin(*[r.a for r in known[i]]) & b.isin(*[r.b for r in known[i]])
+
+    smallest = {i: F.min(F.when(is_top(i), F.col(f"t{i}")) if i in known else F.col(f"t{i}")) for i in facts if i not in tied or i in known}
+    tops = texts.agg(*[value.alias(f"t{i}") for i, value in smallest.items()]).first().asDict() if smallest else {}
+    for i in set(tied) - set(known):
+        text = texts.select(F.col(f"t{i}").alias("text"), prints[i].alias("print")).where("text IS NOT NULL")
+        winners = most.where(F.col("i") == i).select(F.struct("a", "b").alias("print"))
+        tops[f"t{i}"] = text.join(winners, "print", "left_semi").agg(F.min("text")).first()[0]
+    return tops
+
+
 # ---------------------------------------------------------------- series
 
 
@@ -175,24 +237,44 @@ def xy_series(df: DataFrame, x: str, y: str, line: bool = False) -> DataFrame:
     return points.orderBy("x", "y") if line else points
 
 
-def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Counts in equal-width bins between the smallest and the largest value.
+def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
+    """(bin, bin_start, bin_end, count): equal-width bins between the smallest and the largest value, empty ones too.
 
-    Bins without rows are absent. The largest value belongs to the last bin.
+    The largest value belongs to the last bin. Without a number of bins it is Sturges' rule, 1 + log2 of the number
+    of values, rounded up. NULL, NaN and infinite values stand in no bin; a column of one value has
+    one bin of no width, a column without finite values none.
     """
-    values = df.select(_number(df, column).alias("v")).where("v IS NOT NULL")
-    low, high = values.agg(F.min("v")).scalar(), values.agg(F.max("v")).scalar()
-    width = (high - low) / bins
-    # A constant column has one bin of no width.
-    place = F.coalesce(F.floor((F.col("v") - low) / F.nullif(width, F.lit(0.0))), F.lit(0))
+    value = _number(df, column)
+    values = df.select(F.when(F.abs(value) < math.inf, value).alias("v")).where("v IS NOT NULL")
+    # One pass: a row that every bin is computed from.
+    facts = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n"))
+    wanted = F.lit(bins).cast("long") if bins is not None else (F.ceil(F.log2("n")) + 1).cast("long")
+    # Half the scale where the width of all bins is no finite double.
+    facts = facts.where("n > 0").select(
+        "low",
+        F.when(F.col("high") - F.col("low") < math.inf, 1.0).otherwise(0.5).alias("scale"),
+        "high",
+        F.when(F.col("low") == F.col("high"), F.lit(1).cast("long")).otherwise(wanted).alias("bins"),
+    )
+    facts = facts.select(
+        "low", "scale", "bins",
+        ((F.col("high") * F.col("scale") - F.col("low") * F.col("scale")) / F.col("bins")).alias("width"),
+    )
+    low, scale, width, n_bins = (facts.select(c).scalar() for c in ("low", "scale", "width", "bins"))
+    place = F.coalesce(F.floor((F.col("v") * scale - low * scale) / F.nullif(width, F.lit(0.0))), F.lit(0))
+    counted = values.groupBy(F.least(place.cast("long"), n_bins - 1).alias("bin")).agg(F.count("*").alias("count"))
+    frame = facts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)).alias("bin"))
+
+    def edge(number: Column) -> Column:
+        return (F.col("low") * F.col("scale") + number * F.col("width")) / F.col("scale")
+
     return (
-        values.groupBy(F.least(place, F.lit(bins - 1)).cast("long").alias("bin"))
-        .agg(F.count("*").alias("count"))
+        frame.join(counted, "bin", "left")
         .select(
             "bin",
-            (low + F.col("bin") * width).alias("bin_start"),
-            (low + (F.col("bin") + 1) * width).alias("bin_end"),
-            "count",
+            edge(F.col("bin")).alias("bin_start"),
+            edge(F.col("bin") + 1).alias("bin_end"),
+            F.coalesce("count", F.lit(0)).alias("count"),
         )
         .orderBy("bin")
     )

@@ -23,6 +23,7 @@ from basketry.functions.columns import without_nan
 
 NUMBER_BUCKETS = 2048
 TIE_STEP = 2  # bytes resolved per round: at most 65,536 buckets
+TIES_READ = 1_000  # rows of a tie that are read instead of counted on
 
 
 # ------------------------------------------------------ order statistics
@@ -191,22 +192,43 @@ def _tie_texts(
     """Exact tie texts at ranks among the rows sharing a (column, key).
 
     Works along the text, two bytes per round: rows sharing the known start
-    are counted by their next bytes. All texts start with ``common``.
+    are counted by their next bytes. All texts start with ``common``. A bucket of few rows ends the
+    rounds: its texts are read and put in order, so their length does not matter.
     """
     found: dict[tuple[str, float | None, int], str] = {}
+    few: list[_Prefix] = []
     spans = [_Prefix(*place, common.encode(), 0, tuple(wanted)) for place, wanted in ranks.items()]
     while spans:
         longer: dict[tuple, list[int]] = {}
+        short: dict[tuple, list[int]] = {}
         for hit in _pick_buckets(_histogram(keyed, spans, False), spans):
             parent = spans[hit.span]
             text, rank = parent.start + bytes(hit.bucket), parent.below + hit.target
+            key = (parent.column, parent.key, text, parent.below + hit.before)
             if len(hit.bucket) < TIE_STEP:
                 found[parent.column, parent.key, rank] = text.decode()
             else:
-                key = (parent.column, parent.key, text, parent.below + hit.before)
-                longer.setdefault(key, []).append(rank)
+                (short if hit.rows <= TIES_READ else longer).setdefault(key, []).append(rank)
+        few += [_Prefix(*key, tuple(inside)) for key, inside in short.items()]
         spans = [_Prefix(*key, tuple(sorted(inside))) for key, inside in longer.items()]
-    return found
+    return found | _read_ties(keyed, few)
+
+
+def _read_ties(keyed: DataFrame, spans: Sequence[_Prefix]) -> dict[tuple[str, float | None, int], str]:
+    """The wanted texts of spans of at most ``TIES_READ`` rows each, a handful, in one pass."""
+    if not spans:
+        return {}
+    # A row may lie in spans of several columns.
+    inside = F.array(*[F.when(span.holds(), F.lit(i)) for i, span in enumerate(spans)])
+    rows = keyed.select("tie", F.explode(F.filter(inside, lambda i: i.isNotNull())).alias("span")).collect()
+    texts: dict[int, list[bytes]] = {}
+    for row in rows:
+        texts.setdefault(row.span, []).append(row.tie.encode())
+    return {
+        (span.column, span.key, rank): sorted(texts[i])[rank - span.below].decode()
+        for i, span in enumerate(spans)
+        for rank in span.ranks
+    }
 
 
 # ----------------------------------------------------------------- NTILE

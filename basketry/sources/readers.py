@@ -56,22 +56,22 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     pandas frame, whole numbers with missing cells become doubles and booleans with
     missing cells stay text. Quoted cells may hold line breaks, at the price of reading
     each file in one task; large files without any are read in pieces with
-    ``multi_line=False``. Short rows are filled up with missing cells; a row with a cell
-    beyond the header is an error.
+    ``multi_line=False``. Short rows are filled up with missing cells; a row with a filled cell
+    beyond the header is an error. The file is read for its header, for types and faults, and for its rows.
     """
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
     names = reader.csv(path).columns
-    beyond = "_beyond" + "_" * max(map(len, names), default=0)
-    raw = reader.schema(StructType([StructField(c, StringType()) for c in [*names, beyond]])).csv(path)
-    more = raw.where(_cell(beyond).isNotNull()).limit(1).collect()
-    if more:
-        raise ValueError(f"{path}: more cells than the header has, in {tuple(more[0])}")
+    # The text of rows that have more or fewer cells than the header.
+    uneven = "_row" + "_" * max(map(len, names), default=0)
+    columns = StructType([StructField(c, StringType()) for c in [*names, uneven]])
+    raw = reader.option("columnNameOfCorruptRecord", uneven).schema(columns).csv(path)
     cells = raw.select(
-        *[F.when(~_cell(c).isin(*MISSING_TOKENS), _cell(c)).alias(c) for c in names]
+        *[F.when(~_cell(c).isin(*MISSING_TOKENS), _cell(c)).alias(c) for c in names], _cell(uneven)
     )
-    # One pass over the file decides every type.
+    # One pass over the file decides every type and finds rows that are too long.
     counts = cells.agg(
         F.count("*").alias("rows"),
+        F.max(F.when(_cells_of(_cell(uneven)) > len(names), _cell(uneven))).alias("too_long"),
         *[
             F.struct(
                 F.count(_cell(c)).alias("present"),
@@ -82,11 +82,19 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
             for i, c in enumerate(names)
         ],
     ).first()
+    if counts.too_long is not None:
+        raise ValueError(f"{path}: more cells than the header has, in {counts.too_long!r}")
     return cells.select(
         *[_typed(c, counts[f"c{i}"], counts["rows"]).alias(c) for i, c in enumerate(names)]
     )
 
 
+def _cells_of(row: Column) -> Column:
+    """Cells of a row's text up to the last that is not empty; what is quoted counts as one character."""
+    bare = F.regexp_replace(F.regexp_replace(row, r'"(?:[^"]|"")*"', "q"), r"[,\s]+$", "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def _as_long(name: str) -> Column:
     return F.trim(_cell(name)).try_cast("long")
 

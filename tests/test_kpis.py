@@ -37,6 +37,30 @@ def test_sales_kpis(fct):
     assert row.return_rate_pct == pytest.approx(100 * 2 / 6)
 
 
+@pytest.mark.parametrize("rows", ["true", "false", "order_status IS NULL", "order_id <> '2'"])
+def test_the_sales_page_has_all_seven_tables(fct, rows):
+    orders = fct.where(rows)
+    panels = kpis.sales_panels(kpis.sales_page(orders))
+    assert list(panels) == ["sales_kpis", *kpis.SALES_PANELS]
+    for name, table in panels.items():
+        alone = getattr(kpis, name)(orders)
+        assert table.columns == alone.columns
+        expected = alone.collect()
+        if name not in ("revenue_by_traffic_source", "revenue_by_gender"):
+            assert table.collect() == expected, name
+        else:
+            assert sorted(table.collect()) == sorted(expected), name
+
+
+def test_the_sales_page_reads_the_orders_once(spark, fct, tmp_path):
+    fct.write.parquet(f"{tmp_path}/fct")
+    page = kpis.sales_page(spark.read.parquet(f"{tmp_path}/fct"))
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    # Orders are summed before the grouping sets multiply them.
+    assert plan.index("Expand") < plan.index("HashAggregate(keys=[order_month", plan.index("Expand")) < plan.index("FileScan")
+
+
 def test_kpis_of_nothing(fct):
     row = kpis.sales_kpis(fct.where("false")).first()
     assert (row.total_orders, row.total_revenue, row.avg_order_value) == (0, 0.0, None)

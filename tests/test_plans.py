@@ -165,3 +165,17 @@ def test_cohort_window_sees_one_row_per_month(spark, hot):
     text = plan_of(marts.cohort_activity(hot["orders"].withColumn("order_month", F.current_date())))
     window = text.index("Window [min(")
     assert window < text.index("HashAggregate(keys=[user_id", window)
+
+
+def test_customers_and_sessions_are_summed_by_hash_before_their_shuffle(spark, hot):
+    """No sort below the first exchange: text maxima come after the sums."""
+    orders = hot["orders"].select("*", *[F.lit("v").alias(c) for c in ("age_group", "customer_state", "traffic_source")])
+    orders = orders.withColumn("net_revenue", F.lit(1.0))
+    events = spark.read.parquet(*hot["orders"].inputFiles()).select(
+        F.col("order_id").alias("session_id"), F.lit("home").alias("event_type"), "user_id",
+        F.current_timestamp().alias("event_at"), F.col("user_id").alias("traffic_source"), F.col("gender").alias("browser"),
+    )
+    for df, key in ((intermediate.customer_measures(orders), "user_id"), (intermediate.session_rollup(events), "session_id")):
+        # From the result down to the scan: the last exchange is the first to run.
+        below = plan_of(df).rsplit("Exchange", 1)[1]
+        assert f"HashAggregate(keys=[{key}" in below and "Sort" not in below

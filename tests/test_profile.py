@@ -77,9 +77,44 @@ def test_describe_approximate(df, frame):
     assert abs(row.p50 - frame.value.median()) < 1
 
 
-def test_describe_needs_a_number(df):
+def test_describe_of_texts_only(df):
+    assert [tuple(r) for r in profile.describe(df.select("name")).collect()] == [("name", 99, 4, "n0", 26)]
     with pytest.raises(ValueError):
-        profile.describe(df.select("name"))
+        profile.describe(df.select("flag"))
+
+
+@pytest.mark.parametrize("tied", [1000, 2])
+def test_describe_text(spark, monkeypatch, tied):
+    monkeypatch.setattr(profile, "TIED_VALUES", tied)
+    rows = [
+        (f"id-{i:04d}", ["b", "a", "c", None][i % 4], ["x", "y"][i < 3], f"v{i // 2 % 30}", None, "é" * 3000 if i % 9 else "", i)
+        for i in range(120)
+    ]
+    df = spark.createDataFrame(rows, "u string, `three ways` string, few string, pairs string, nothing string, long string, n int")
+    df = df.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n") / 100).cast("int")))
+    frame = df.toPandas().astype({"day": str})
+    got = rows_by(profile.describe_text(df), "column_name")
+    assert list(got) == ["u", "three ways", "few", "pairs", "nothing", "long", "day"]
+    for name, row in got.items():
+        counts = frame[name].value_counts()
+        top = min(counts.index[counts == counts.max()], default=None)
+        expected = (name, counts.sum(), len(counts), top, counts.max() if len(counts) else None)
+        assert tuple(row.values()) == expected
+    empty = profile.describe_text(df.limit(0)).collect()
+    assert {tuple(r)[1:] for r in empty} == {(0, 0, None, None)}
+
+
+def test_long_texts_are_not_shuffled(spark):
+    """What the distinct count moves is hashes."""
+    df = spark.range(50).select(F.repeat(F.col("id").cast("string"), F.lit(9)).alias("text"))
+    frames = []
+    keep = profile.materialize
+    profile.materialize, before = lambda f, *a: frames.append(f) or keep(f, *a), keep
+    try:
+        assert profile.describe_text(df).first().unique == 50
+    finally:
+        profile.materialize = before
+    assert [f.columns for f in frames] == [["i", "a", "b", "n"]]
 
 
 def test_series(df, frame):
@@ -94,11 +129,28 @@ def test_series(df, frame):
 def test_histogram_matches_numpy(df, frame):
     counts, edges = np.histogram(frame.value.dropna(), bins=8)
     got = rows_by(profile.histogram(df, "value", 8), "bin")
-    assert [got[i]["count"] if i in got else 0 for i in range(8)] == counts.tolist()
+    assert [got[i]["count"] for i in range(8)] == counts.tolist() and 0 in counts.tolist()
     assert got[0]["bin_start"] == edges[0] and got[7]["bin_end"] == pytest.approx(edges[-1])
     assert [tuple(r) for r in profile.histogram(df, "flat").collect()] == [(0, 7.0, 7.0, 101)]
 
 
+def test_histogram_chooses_its_bins(spark, df, frame):
+    counts, edges = np.histogram(frame.value.dropna(), bins="sturges")
+    got = profile.histogram(df, "value").collect()
+    assert [r["count"] for r in got] == counts.tolist()
+    assert [r.bin_start for r in got] == pytest.approx(edges[:-1].tolist())
+
+
+def test_histogram_of_infinite_and_extreme_values(spark):
+    values = [-math.inf, math.inf, math.nan, None, 1.0, 2.0, 4.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [tuple(r) for r in profile.histogram(df, "v", 3).collect()] == [(0, 1.0, 2.0, 1), (1, 2.0, 3.0, 1), (2, 3.0, 4.0, 1)]
+    ends = spark.createDataFrame([(-1.7e308,), (1.7e308,), (0.1,)], "v double")
+    got = profile.histogram(ends, "v", 2).collect()
+    assert [r["count"] for r in got] == [1, 2] and got[0].bin_end == 0 and got[1].bin_end == 1.7e308
+    assert profile.histogram(df.where("v = 7"), "v").count() == profile.histogram(df.where("abs(v) > 7"), "v", 5).count() == 0
+
+
 @pytest.mark.parametrize("column", ["value", "flat", "key"])
 def test_anomalies(df, frame, column):
     values = frame[column]
@@ -196,6 +248,18 @@ def test_short_and_long_rows(spark, tmp_path, multi_line):
     path = tmp_path / "rows.csv"
     path.write_text("a,b\n1,2\n3\n")
     assert [tuple(r) for r in read_csv(spark, str(path), multi_line).collect()] == [(1, 2.0), (3, None)]
-    path.write_text("a,b\n1,2\n1,2,3\n")
-    with pytest.raises(ValueError, match="more cells"):
-        read_csv(spark, str(path), multi_line)
+    path.write_text('a,b\n1,2,,\n3,"x,y"\n"p ""q,r"" s, t",, \n')
+    assert [tuple(r) for r in read_csv(spark, str(path), multi_line).collect()] == [("1", "2"), ("3", "x,y"), ('p "q,r" s, t', None)]
+    for row in ("1,2,3", "3,4,,5", ",,3", '1,2,"x"', "3,4,,,,,,,,5", '"a,b","c,d","e"'):
+        path.write_text(f"a,b\n1,2\n{row}\n6,7\n")
+        with pytest.raises(ValueError, match="more cells"):
+            read_csv(spark, str(path), multi_line)
+
+
+def test_long_rows_with_line_breaks(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text('a,b\n1,"two, with a comma\nand a line"\n3,4\n')
+    assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [(1, "two, with a comma\nand a line"), (3, "4")]
+    path.write_text('a,b\n1,"two, with a comma\nand a line",,"x"\n3,4\n')
+    with pytest.raises(ValueError, match="and a line"):
+        read_csv(spark, str(path))

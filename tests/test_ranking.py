@@ -139,6 +139,25 @@ def test_rounds_are_bounded_over_all_magnitudes(spark, monkeypatch):
     assert max(h.groupBy("span").count().agg(F.max("count")).first()[0] or 0 for h in histograms) <= 64 * 64
 
 
+def test_long_ties_take_few_rounds(spark, monkeypatch):
+    """Ids of 36 characters with little in common: a bucket of few rows ends the rounds."""
+    import uuid
+
+    histograms = []
+    count = ranking._histogram
+    monkeypatch.setattr(ranking, "_histogram", lambda *a: histograms.append(a) or count(*a))
+    draw = np.random.default_rng(3)
+    ids = [str(uuid.UUID(bytes=draw.bytes(16))) for _ in range(6000)]
+    check(spark, [(i, float(k % 2)) for k, i in enumerate(ids)], 5)
+    assert len(histograms) <= 5
+
+
+@pytest.mark.parametrize("few", [1, 3, 10_000])
+def test_ties_read_or_counted_are_the_same(spark, monkeypatch, few):
+    monkeypatch.setattr(ranking, "TIES_READ", few)
+    check(spark, [(f"user-{i * 7919 % 600:04d}é", 1.0) for i in range(600)] + [("user-0001", 1.0), ("", 1.0), (None, 1.0)], 7)
+
+
 def test_ranked_rows_are_never_shuffled(spark):
     """The result is a projection: no exchange, no sort, no window."""
     df = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.rand(5).alias("key"))

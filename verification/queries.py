@@ -119,12 +119,13 @@ def declared_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _users_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Users written to CSV with missing ages spelled NA, then scanned back."""
+    """Users written to CSV with missing ages spelled NA and addresses over two lines, then scanned back."""
     path = new_path(spark, "users-csv")
+    address = F.concat(F.lit('c/o "'), "last_name", F.lit('",\n'), "city")
     users = sample_source(tune(spark), folder, "users").select(
-        "id", "email", "age", "city", "latitude", (F.col("gender") == "M").alias("is_male")
+        "id", "email", "age", "city", "latitude", (F.col("gender") == "M").alias("is_male"), address.alias("address")
     )
-    users.write.option("header", True).option("nullValue", "NA").csv(path)
+    users.write.options(header=True, nullValue="NA", escape='"').csv(path)
     return readers.read_csv(spark, path)
 
 
@@ -303,6 +304,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "monthly_revenue": _over_marts(kpis.monthly_revenue, fct),
         "order_status_counts": _over_marts(kpis.order_status_counts, fct),
+        "sales_page": _over_marts(kpis.sales_page, fct, fine=["avg_order_value", "return_rate_pct"]),
         "top_states_by_revenue": _over_marts(kpis.top_states_by_revenue, fct),
         "revenue_by_traffic_source": _over_marts(kpis.revenue_by_traffic_source, fct),
         "revenue_by_gender": _over_marts(kpis.revenue_by_gender, fct),
@@ -359,6 +361,7 @@ def all_queries() -> dict[str, Query]:
         "column_kinds": lambda spark, folder: profile.column_kinds(_users(spark, folder)),
         "csv_column_kinds": csv_column_kinds,
         "describe": _table(lambda df: profile.describe(df, LINE_NUMBERS), "lineitem"),
+        "describe_text": lambda spark, folder: profile.describe_text(_users(spark, folder)),
         "describe_by_counting": _table(profile.describe, "lineitem"),
         "bar_series": _over_marts(
             lambda df: profile.bar_series(df, "order_value_tier", "gross_revenue"), fct
@@ -371,6 +374,7 @@ def all_queries() -> dict[str, Query]:
         "histogram": _table(
             lambda df: profile.histogram(df, "l_extendedprice", 20), "lineitem"
         ),
+        "histogram_bins": _over_marts(lambda df: profile.histogram(df, "gross_revenue"), fct),
         "column_anomalies": _over_marts(
             lambda df: profile.column_anomalies(df.select(*POINT), "gross_revenue"), fct
         ),
