@@ -1,9 +1,10 @@
 """Which licence a file is under: TF-IDF cosine to templates, then the nearest licence file above it.
 
 Every line of every file is compared with the templates, and so is each whole text, since a licence file
-is little else. Word weights come from counts over all files. A line can only reach the threshold
-if it holds a word that carries enough of some template's weight, so lines without any such word
-are passed over; that loses nothing. A file without a licence of its own takes the one of the
+is little else. Words weigh by the number of files that hold them, counted over all files, those of
+lines and texts like those of templates. A line can only reach the threshold if it holds a word that carries enough
+of some template's weight, so lines without any such word are passed over; that loses nothing. Vectors are sparse: a
+row per line and word, joined with the words' weights. A file without a licence of its own takes the one of the
 nearest directory above it that holds a licence file. SQL functions only.
 """
 
@@ -16,23 +17,11 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.licence_texts import TEMPLATES
 from basketry.llm.storage import stored
 
-# Wordings of licence headers and notices.
-TEMPLATES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("proprietary", "All rights reserved."),
-]
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+SCORE_PLACES = 12  # sums in any order round to the same
 
 
 def _terms(text: Column) -> Column:
@@ -40,18 +29,16 @@ def _terms(text: Column) -> Column:
 
 
 class Weights:
-    """Weights of the templates' words (a bounded table), from document counts of these words."""
+    """Unit vectors of the templates (a bounded table), from counts of the files that hold their words."""
 
     def __init__(self, counts: dict[str, int], files: int, templates: list[tuple[str, str]], threshold: float) -> None:
         self.names = [name for name, _ in templates]
         bags = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
-        self.words = sorted(set().union(*bags))
-        self.idf = {w: math.log((1 + files) / (1 + counts.get(w, 0))) + 1 for w in self.words}
-        self.other = math.log(1 + files) + 1
+        idf = {w: math.log((1 + files) / (1 + counts.get(w, 0))) + 1 for w in set().union(*bags)}
         self.vectors = []
         self.telling: set[str] = set()
         for bag in bags:
-            weight = {w: n * self.idf[w] for w, n in bag.items()}
+            weight = {w: n * idf[w] for w, n in bag.items()}
             norm = math.sqrt(sum(x * x for x in weight.values()))
             self.vectors.append({w: x / norm for w, x in weight.items()})
             # The lightest words, as long as all of them together cannot reach the threshold.
@@ -61,37 +48,29 @@ class Weights:
                 if math.sqrt(light) >= threshold:
                     self.telling.add(w)
 
-    def pattern(self) -> str:
-        """Matches lower-cased text with a telling word in it."""
-        return rf"(?<![a-z0-9])(?:{'|'.join(re.escape(w) for w in sorted(self.telling))})(?![a-z0-9])"
+    def tells(self, terms: Column) -> Column:
+        """Whether an array of words holds a telling one."""
+        return F.arrays_overlap(terms, F.array(*[F.lit(w) for w in sorted(self.telling)]))
 
-    def best(self, terms: Column) -> Column:
-        """struct<score, licence>: the nearest template of an array of words.
+    def of_word(self, word: Column) -> Column:
+        """The weight of a word in each template; NULL if none has it."""
+        known = sorted(set().union(*self.vectors))
+        entries = [x for w in known for x in (F.lit(w), F.array(*[F.lit(v.get(w, 0.0)) for v in self.vectors]))]
+        return F.try_element_at(F.create_map(*entries), word)
 
-        A word that no template has weighs as one that no file has, each occurrence by itself.
-        """
-        equals = lambda w: lambda x: x == w
-        counts = [F.size(F.filter(terms, equals(w))) for w in self.words]
-        here = F.array(*[(n * self.idf[w]).cast("double") for n, w in zip(counts, self.words)])
-        known = F.aggregate(F.filter(terms, lambda x: x.isin(self.words)), F.lit(0), lambda n, _: n + 1)
-        square = F.aggregate(here, F.lit(0.0), lambda total, x: total + x * x)
-        norm = F.sqrt(square + (F.size(terms) - known) * self.other**2)
 
-        def cosine(vector: dict[str, float]) -> Column:
-            weights = F.array(*[F.lit(vector.get(w, 0.0)) for w in self.words])
-            return F.aggregate(F.zip_with(here, weights, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x) / norm
-
-        each = [F.struct(cosine(v).alias("score"), F.lit(name).alias("licence")) for v, name in zip(self.vectors, self.names)]
-        return F.when(F.size(terms) > 0, F.array_max(F.array(*each)))
-
-
-def word_weights(files: DataFrame, threshold: float, templates: list[tuple[str, str]]) -> Weights:
-    """Counts of the templates' words over all ``files`` (text); only these bounded counts come to the driver."""
-    words = sorted({w for _, text in templates for w in re.findall(TERM, text.lower())})
-    held = F.array_intersect(_terms(F.coalesce("text", F.lit(""))), F.array(*[F.lit(w) for w in words]))
-    each = files.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word"))
-    counts = {r.word: r["count"] for r in each.groupBy("word").count().collect()}
-    return Weights(counts, counts.get("", 0), templates, threshold)
+def _counted(terms: DataFrame, words: DataFrame, files: int, weights: Weights, threshold: float) -> DataFrame:
+    """``(unit, score, licence)`` of the units of ``terms`` (unit, word), one row per occurrence, that reach the threshold."""
+    sparse = terms.groupBy("unit", "word").agg(F.count("*").alias("n")).join(words, "word")
+    weight = F.col("n") * (F.log(F.lit(1.0 + files) / (1 + F.col("files"))) + 1)
+    known = sparse.select("unit", weight.alias("weight"), weights.of_word(F.col("word")).alias("of"))
+    products = [F.sum(F.col("weight") * F.coalesce(F.get("of", F.lit(i)), F.lit(0.0))).alias(f"p{i}") for i in range(len(weights.names))]
+    sums = known.groupBy("unit").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"), *products)
+    each = [
+        F.struct(F.round(F.col(f"p{i}") / F.col("norm"), SCORE_PLACES).alias("score"), F.lit(name).alias("licence"))
+        for i, name in enumerate(weights.names)
+    ]
+    return sums.select("unit", F.array_max(F.array(*each)).alias("best")).where(F.col("best.score") >= threshold).select("unit", "best.*")
 
 
 def scan(
@@ -102,34 +81,43 @@ def scan(
     ``origin`` is ``own`` if a line (number ``line``, from 0) or the whole text reaches the threshold, ``inherited``
     if the nearest licence file above does, else NULL like the rest. A licence file is one whose whole
     text reaches the threshold; of several in one directory the nearest to a template counts, ties to the
-    smaller path, and it speaks for its own directory and all below. Texts that are NULL or empty have
-    no licence of their own, rows with NULL path inherit none. Rows with equal path and text answer alike;
-    rows with one path and several texts share the best line among them.
+    smaller path, and it speaks for its own directory and all below. Of equally near templates the name that sorts last counts, of equally near
+    lines the first. Texts that are NULL or empty have
+    no licence of their own, rows with NULL path inherit none. Rows with equal texts answer alike.
     """
     carry = carry or []
     templates = templates or TEMPLATES
     columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
     rows = files.select(F.struct(F.lit(0).alias("_"), *columns).alias("row"), F.col("path").cast("string"), F.col("text").cast("string"))
-    weights = word_weights(rows, threshold, templates)
-    telling = weights.pattern()
-
-    def scored(terms: Column, line: Column) -> Column:
-        best = weights.best(terms)
-        return F.when(best["score"] >= threshold, F.struct(best["score"].alias("score"), (-line).alias("up"), best["licence"].alias("licence")))
-
-    lines = F.filter(
-        F.transform(F.split("text", "\n", -1), lambda text, i: F.struct(i.alias("line"), text.alias("text"))),
-        lambda x: F.lower(x["text"]).rlike(telling),
-    )
-    # Of a row without a telling line nothing but an empty array goes on.
-    units = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), _terms(x["text"]).alias("terms")))
-    found = rows.withColumn("units", units)
-    found = found.withColumn("whole", F.when(F.size("units") > 0, _terms(F.col("text")))).drop("text")
-    on_lines = F.array_max(F.transform("units", lambda x: scored(x["terms"], x["line"])))
-    on_whole = F.when(F.size("units") > 0, scored(F.col("whole"), F.lit(0)))
-    own = found.select(
-        "row", "path", on_lines.alias("by_line"), on_whole.alias("by_whole"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")
+    words = rows.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("word"))
+    words = stored(words.groupBy("word").agg(F.count("*").alias("files")))
+    n_files = rows.count()
+    known = sorted({w for _, text in templates for w in re.findall(TERM, text.lower())})
+    # Words of templates only.
+    counts = {r.word: r.files for r in words.where(F.col("word").isin(known)).collect()}
+    weights = Weights(counts, n_files, templates, threshold)
+
+    # Of a row without a telling word neither text nor key goes on.
+    told = rows.withColumn("tells", F.coalesce(weights.tells(_terms(F.col("text"))), F.lit(False)))
+    marked = stored(
+        told.select(
+            "row", "path", F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"),
+            F.when(F.col("tells"), F.sha2(F.col("text").cast("binary"), 256)).alias("unit"),
+            F.when(F.col("tells"), F.col("text")).alias("text"),
+        )
     )
+    texts = marked.where("unit is not null").select("unit", "text").dropDuplicates(["unit"])
+    lines = texts.select(F.col("unit").alias("of"), F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    lines = lines.where(weights.tells(_terms(F.col("text"))))
+    lines = stored(lines.select("of", "line", "text", F.sha2(F.col("text").cast("binary"), 256).alias("unit")))
+    units = texts.unionByName(lines.select("unit", "text")).dropDuplicates(["unit"])
+    terms = units.select("unit", F.explode(_terms(F.col("text"))).alias("word"))
+    scores = stored(_counted(terms, words, n_files, weights, threshold))
+
+    found = F.struct("score", (-F.col("line")).alias("up"), "licence")
+    by_line = lines.join(scores, "unit").groupBy("of").agg(F.max(found).alias("by_line")).withColumnRenamed("of", "unit")
+    by_whole = scores.select("unit", F.struct("score", F.lit(0).alias("up"), "licence").alias("by_whole"))
+    own = marked.drop("text").join(by_line.join(by_whole, "unit", "full"), "unit", "left")
     own = stored(own.withColumn("own", F.greatest("by_line", "by_whole")))
 
     named = own.where("by_whole is not null and path is not null")

@@ -377,6 +377,51 @@ def test_licences(spark):
     assert licences.scan(files.where("false"), carry=["doc_id"]).collect() == []
 
 
+def brute_licences(files: list[tuple], threshold: float, templates) -> list[tuple]:
+    """Own licence and line of every (path, text), by TF-IDF cosine of every line and text to every template."""
+    split = lambda text: re.findall(licences.TERM, (text or "").lower())
+    held = Counter(w for _, text in files for w in set(split(text)))
+
+    def vector(words):
+        weights = {w: n * (np.log((1 + len(files)) / (1 + held[w])) + 1) for w, n in Counter(words).items()}
+        norm = np.sqrt(sum(x * x for x in weights.values()))
+        return {w: x / norm for w, x in weights.items()}
+
+    known = [(name, vector(split(text))) for name, text in templates]
+
+    def best(text):
+        of = vector(split(text)) if split(text) else {}
+        return max((round(float(sum(x * of.get(w, 0.0) for w, x in v.items())), 9), name) for name, v in known)
+
+    out = []
+    for path, text in files:
+        found = [(*best(line), -i, i) for i, line in enumerate((text or "").split("\n"))]
+        found = [(score, up, name, i) for score, name, up, i in found if score >= threshold]
+        score, name = best(text)
+        whole = [(score, 0, name, None)] if score >= threshold else []
+        top = max(found + whole, key=lambda f: (f[0], f[1], f[2], f[3] is not None), default=None)
+        out.append((path, top[2], round(top[0], 6), top[3]) if top else (path, None, None, None))
+    return out
+
+
+def test_licences_are_tf_idf_cosines(spark):
+    draw = random.Random(6)
+    base = [t for _, t in licences.TEMPLATES]
+    lines = [t.replace("\n", " ") for t in base] + ["Copyright 2020 Example. This file is licensed under the Apache License, Version 2.0."]
+    say = lambda n: " ".join(draw.choice(["the", "of", "licence", "rights", "x1", "ß", "foo", "software"]) for _ in range(n))
+    files = [(f"p{i}/f{i}", "\n".join(draw.choice([say(12), say(3), draw.choice(lines), ""]) for _ in range(draw.randrange(6)))) for i in range(120)]
+    files += [(f"q{i}/LICENCE", text) for i, text in enumerate(base)] + [("r/a", None), ("r/b", ""), ("r/c", "word " * 20_000), ("r/d", "\n \n")]
+    files += [files[3], files[3], ("r/e", lines[-1]), ("r/f", f"{lines[0]}\n{lines[0]}")]
+    frame = spark.createDataFrame([(*f, "x", 1) for f in files], "path string, text string, unit string, files int")
+    found = [(r.path, r.licence, None if r.score is None else round(r.score, 6), r.line) for r in licences.scan(frame).collect() if r.origin != "inherited"]
+    expected = [r for r in brute_licences(files, 0.6, licences.TEMPLATES)]
+    inherited = Counter((r.path, None, None, None) for r in licences.scan(frame).collect() if r.origin == "inherited")
+    assert Counter(map(repr, found)) == Counter(map(repr, expected)) - Counter({repr(k): n for k, n in inherited.items()})
+    names = {r[0]: r[1] for r in found}
+    assert names["r/e"] == "Apache-2.0"
+    assert all(names[f"q{i}/LICENCE"] == name for i, (name, _) in enumerate(licences.TEMPLATES))
+
+
 def test_pieces_agree_with_sentencepiece(spark, awkward):
     import sentencepiece
 
