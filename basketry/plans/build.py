@@ -166,7 +166,6 @@ def run_pipeline(
         sources = dict(source)
     staged = stage(sources)
     views: dict[str, DataFrame] = dict(staged)
-    names = _publish_staging(warehouse, source, staged)
 
     todo = {name: mart for name, mart in GRAPH.items() if warehouse.written_by(MARTS, name) != run}
     seen = {table: Observation(f"{table}-{run}") for mart in todo for table in (*GRAPH[mart].watches, mart)}
@@ -177,7 +176,9 @@ def run_pipeline(
     watched = {
         name: watch(model(watch(sources[model.source], model.source)), name) for name, model in STAGING_MODELS.items()
     }
-    with Scratch(spark, "build") as scratch:
+    with Scratch(spark, "build") as scratch, ThreadPoolExecutor(1) as beside:
+        # Catalog entries only, while the first marts are written.
+        staging = beside.submit(inheritable_thread_target(spark)(_publish_staging), warehouse, source, staged)
         given = _Inputs(staged, watched, warehouse, scratch)
 
         def publish(name: str) -> None:
@@ -185,6 +186,7 @@ def run_pipeline(
             warehouse.publish_table(watch(todo[name].make(given), name), MARTS, name, layout, run)
 
         _in_order(spark, todo, publish, run)
+        names = staging.result()
     names |= {name: warehouse.attach(MARTS, name) for name in GRAPH}
     for name, text in INTERMEDIATE_VIEWS.items():
         if isinstance(source, str):
