@@ -4,7 +4,8 @@ A text is lower-cased in A-Z; its subwords are the runs of ``GRAMS`` bytes that
 or white space other than the word's edges (white space reads as one edge mark). Each subword is
 hashed to a row of an embedding table, the rows are averaged over the whole text, and a linear
 layer with softmax gives the language. Table and layer are learned together by stochastic gradient
-descent in numpy, on a bounded sample of labelled texts. Since both are linear their product is one
+descent in numpy, on a bounded sample of labelled texts: the executors count the subwords of each whole text, and
+only the counts reach the driver. Since both are linear their product is one
 table of class scores, which is all that scoring needs.
 
 Scores are calibrated on the part of the sample that did not train: a temperature makes them
@@ -26,8 +27,7 @@ from basketry.llm import utf8
 
 GRAMS = (2, 3, 4)
 BUCKETS = 1 << 15
-SAMPLE_ROWS = 4000
-SAMPLE_BYTES = 4000  # of each training text; scoring reads whole texts
+SAMPLE_ROWS = 4000  # about so many texts, the languages alike
 UNDETERMINED = "und"
 EDGE = 0x20
 
@@ -78,17 +78,14 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 5, rate: float = 0.5, reject_share: float = 0.001) -> LanguageModel:
-    """Learn from (text, language) rows; every fifth calibrates."""
-    languages = sorted({language for _, language in rows})
+def fit(
+    samples: list[tuple[np.ndarray, np.ndarray, str]], dim: int = 16, epochs: int = 5, rate: float = 0.5, reject_share: float = 0.001
+) -> LanguageModel:
+    """Learn from (subword buckets, how often each, language) of texts with subwords; every fifth calibrates."""
+    languages = sorted({language for _, _, language in samples})
     draw = np.random.default_rng(11)
-    bags, answers = [], []
-    for text, language in rows:
-        data = np.frombuffer(text.encode()[:SAMPLE_BYTES], np.uint8)
-        bag, _ = subwords(data, np.array([0, len(data)]))
-        if len(bag):
-            bags.append(np.unique(bag, return_counts=True))
-            answers.append(languages.index(language))
+    bags = [(bag, count) for bag, count, _ in samples]
+    answers = [languages.index(language) for _, _, language in samples]
     embedding = draw.normal(0, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     layer = np.zeros((dim, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
@@ -120,16 +117,45 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 5, rate: float
     return LanguageModel(languages, (table / temperature).astype(np.float32), bias / np.float32(temperature), threshold)
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Subword counts of each whole text."""
+    for batch in batches:
+        for first, end, data, offsets in utf8.texts(batch.column("text")):
+            bag, of = subwords(data, offsets)
+            order = np.argsort(of, kind="stable")
+            pieces = np.split(bag[order], np.searchsorted(of[order], np.arange(1, end - first)))
+            counted = [np.unique(piece, return_counts=True) for piece in pieces]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).slice(first, end - first) for c in ("lang", "draw")],
+                    pa.array([bag for bag, _ in counted], pa.list_(pa.int32())),
+                    pa.array([count.astype(np.int32) for _, count in counted], pa.list_(pa.int32())),
+                ],
+                ["lang", "draw", "bag", "count"],
+            )
+
+
 def train(labelled: DataFrame) -> LanguageModel:
-    """A model from ``labelled`` (doc_id, text, lang), of which ``SAMPLE_ROWS`` rows, the first by hash, are read.
+    """A model from ``labelled`` (doc_id, text, lang).
 
-    Rows without text or language are left out; without any row there is no language to name.
+    Of each language about as many texts are read, ``SAMPLE_ROWS`` together: those whose hash lies below a bound that
+    follows from the number of its rows, so a rare language is learned from all it has, and what reaches the driver
+    is the same for any number of rows and tasks. Rows without text or language are left out, repeated rows count once; without
+    any row there is no language to name.
     """
     rows = labelled.where("text is not null and lang is not null")
-    rows = rows.select("lang", F.substring("text", 1, SAMPLE_BYTES).alias("text"), F.xxhash64("doc_id", "text").alias("draw"))
-    # The first rows by hash are the same sample on every run; the limit runs on each map task first.
-    sample = rows.orderBy("draw", "text").limit(SAMPLE_ROWS).collect()
-    return fit([(r.text, r.lang) for r in sample])
+    # One row per language.
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return fit([])
+    each = -(-SAMPLE_ROWS // len(counts))
+    bounds = [x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(int(min(1.0, each / n) * (1 << 40))))]
+    rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    drawn = rows.where(F.pmod("draw", F.lit(1 << 40)) < F.element_at(F.create_map(*bounds), F.col("lang")))
+    drawn = drawn.dropDuplicates(["lang", "draw"])
+    table = drawn.mapInArrow(_bags, "lang string, draw long, bag array<int>, count array<int>").toArrow().sort_by([("draw", "ascending"), ("lang", "ascending")])
+    samples = zip(table["bag"], table["count"], table["lang"].to_pylist())
+    return fit([(np.array(bag.values), np.array(count.values), lang) for bag, count, lang in samples if len(bag)])
 
 
 def _named(model: LanguageModel):

@@ -23,6 +23,7 @@ from basketry.llm import utf8
 from basketry.llm.graph import linked_components, most_shared_centres, shared_buckets
 from basketry.llm.storage import stored
 
+_BASE = 0x9E3779B97F4A7C15
 _DRAWS = 200  # borrowed bins: so many draws, then the next filled bin to the right
 
 
@@ -44,15 +45,49 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
     return text[full], number[full], solid[a[full]], solid[b[full] - 1] + 1
 
 
+def _windows(points: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every run of n numbers, from those of half as many."""
+    if n == 1:
+        return points
+    half = _windows(points, n // 2)
+    if len(half) <= n - n // 2:
+        return half[:0]
+    pairs = half[: -(n // 2)] * np.uint64(pow(_BASE, n // 2, 2**64)) + half[n // 2 :]
+    return pairs if n % 2 == 0 else pairs[:-1] * np.uint64(_BASE) + points[n - 1 :]
+
+
+def _code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A number per character: its bytes, as one number."""
+    points = data[at].astype(np.uint64)
+    more = np.flatnonzero(points >= 0xC0)
+    if len(more):
+        size = np.diff(np.append(at, len(data)))[more]
+        value = points[more]
+        for k in range(1, 4):
+            longer = np.flatnonzero(size > k)
+            value[longer] = (value[longer] << np.uint64(8)) | data[at[more[longer]] + k]
+        points[more] = value
+    return points
+
+
 def _shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: int):
-    """Hashes of the character shingles of every span, and the span each belongs to."""
+    """Hashes of the character shingles of every span, and the span each belongs to; spans are in order and do not overlap."""
     at = np.flatnonzero((data & 0xC0) != 0x80)
     a, b = np.searchsorted(at, starts), np.searchsorted(at, ends)
-    at = np.append(at, len(data))
-    count = np.maximum(b - a - chars + 1, 1)
-    line = np.repeat(np.arange(len(starts)), count)
-    first = a[line] + np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
-    return utf8.span_hashes(data, at[first], at[np.minimum(first + chars, b[line])]), line
+    short = np.flatnonzero(b - a < chars)
+    windows = _windows(utf8.mix(_code_points(data, at) + np.uint64(1)), chars)
+    # A window counts for the span that it begins and ends in.
+    step = np.zeros(len(windows) + 1, np.int8)
+    long_ = np.flatnonzero(b - a >= chars)
+    step[a[long_]] += 1
+    step[b[long_] - chars + 1] -= 1
+    inside = np.flatnonzero(np.cumsum(step[:-1], dtype=np.int8))
+    hashes = utf8.mix(windows[inside])
+    line = np.repeat(long_, b[long_] - a[long_] - chars + 1)
+    if len(short):
+        whole = utf8.span_hashes(data, starts[short], ends[short])
+        hashes, line = np.concatenate([hashes, whole]), np.concatenate([line, short])
+    return hashes, line
 
 
 def _bands(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: int, bands: int, rows: int) -> np.ndarray:
@@ -129,41 +164,51 @@ def _line_texts(batches):
     return _each_line(batches, rows)
 
 
-def _shingle_sets(values: pa.Array, chars: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, shingle) of an Arrow column of lines, sorted."""
-    lengths = np.array([len(v.as_py()) for v in values], np.int64)
-    ends = np.cumsum(lengths)
-    data = np.frombuffer(b"".join(v.as_py() for v in values), np.uint8)
-    hashes, row = _shingles(data, ends - lengths, ends, chars)
-    order = np.lexsort((hashes, row))
-    hashes, row = hashes[order], row[order]
-    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1]))
-    return row[fresh], hashes[fresh]
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column and the offsets of its values in them, without a copy."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+_ROW_BITS = 12  # rows of a piece; the other bits of a key are the shingle's hash
+
+
+def _shingle_keys(values: pa.Array, chars: int) -> np.ndarray:
+    """Distinct shingles of each of a few lines, sorted: the line's number and 52 bits of hash."""
+    data, offsets = _bytes_of(values)
+    hashes, row = _shingles(data, offsets[:-1], offsets[1:], chars)
+    keys = (row.astype(np.uint64) << np.uint64(64 - _ROW_BITS)) | (hashes >> np.uint64(_ROW_BITS))
+    keys.sort()
+    fresh = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
+    return keys[fresh]
+
+
+def _row_counts(keys: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount((keys >> np.uint64(64 - _ROW_BITS)).astype(np.int64), minlength=n)
 
 
 def _some(batch: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about ``SLICE_BYTES`` of lines."""
-    size = sum(np.array([len(v.as_py()) for v in batch.column(c)], np.int64) for c in columns)
+    """The batch in pieces of about ``SLICE_BYTES`` of lines and a bounded number of rows."""
+    size = sum(np.diff(_bytes_of(batch.column(c))[1]) for c in columns)
     piece = np.cumsum(size) // utf8.SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), len(batch)]
     for a, b in zip(cuts[:-1], cuts[1:]):
-        if b > a:
-            yield batch.slice(int(a), int(b - a))
+        for first in range(a, b, 1 << _ROW_BITS):
+            yield batch.slice(int(first), int(min(b - first, 1 << _ROW_BITS)))
 
 
 def _verified(chars: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _some(batch, "of_a", "of_b"):
+            for some in _some(batch, "of_a", "of_b") if len(batch) else ():
                 n = len(some)
-                row_a, a = _shingle_sets(some.column("of_a"), chars)
-                row_b, b = _shingle_sets(some.column("of_b"), chars)
-                row, both = np.concatenate([row_a, row_b]), np.concatenate([a, b])
-                order = np.lexsort((both, row))
-                row, both = row[order], both[order]
-                twice = row[1:][(both[1:] == both[:-1]) & (row[1:] == row[:-1])]
-                shared = np.bincount(twice, minlength=n)
-                union = np.bincount(row, minlength=n) - shared
+                a, b = (_shingle_keys(some.column(c), chars) for c in ("of_a", "of_b"))
+                both = np.concatenate([a, b])
+                both.sort()
+                shared = _row_counts(both[1:][both[1:] == both[:-1]], n)
+                union = _row_counts(a, n) + _row_counts(b, n) - shared
                 yield some.select(["a", "b"]).filter(pa.array(shared >= threshold * union - 1e-9))
 
     return run
@@ -172,10 +217,11 @@ def _verified(chars: int, threshold: float):
 def _exploded(chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _some(batch, "value"):
-                row, hashes = _shingle_sets(some.column("value"), chars)
-                ids = some.column("id").take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(hashes.view(np.int64))], ["id", "shingle"])
+            for some in _some(batch, "value") if len(batch) else ():
+                keys = _shingle_keys(some.column("value"), chars)
+                ids = some.column("id").take(pa.array((keys >> np.uint64(64 - _ROW_BITS)).astype(np.int64)))
+                shingles = (keys & np.uint64((1 << (64 - _ROW_BITS)) - 1)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(shingles)], ["id", "shingle"])
 
     return run
 

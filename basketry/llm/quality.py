@@ -11,6 +11,7 @@ A filter over bytes is a table (place in the window, byte value), so applying it
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,8 +26,8 @@ from basketry.llm import utf8
 WIDTH = 6
 FILTERS = 16
 SEGMENT = 128
-SAMPLE_ROWS = 1000  # of each label
-SAMPLE_BYTES = 6000  # of each training text; scoring reads whole texts
+SAMPLE_ROWS = 1000  # of each label, about
+SAMPLE_BYTES = 1 << 24  # of whole texts of each label, together
 _TILE = 1 << 14
 
 
@@ -111,7 +112,7 @@ def fit(rows: list[tuple[str, int]], epochs: int = 6, rate: float = 0.01, prior:
     )
     texts = []
     for text, label in rows:
-        raw = np.frombuffer((text or "").encode()[:SAMPLE_BYTES], np.uint8)
+        raw = np.frombuffer((text or "").encode(), np.uint8)
         data, starts, length = _padded(raw, np.array([0, len(raw)]))
         n = int(length[0])
         texts.append((np.pad(data, (0, -n % SEGMENT)), n, label))
@@ -172,19 +173,28 @@ def _backward(model: QualityModel, data: np.ndarray, n: int, label: int, grad: d
 def train(documents: DataFrame, labels: DataFrame) -> QualityModel:
     """A model from ``documents`` (doc_id, text) and ``labels`` (doc_id, quality 0 or 1).
 
-    ``SAMPLE_ROWS`` rows of each label, the first by a hash of doc_id, are read; without labels every text
-    scores one half. Rows without a label are left out, a NULL text counts as empty.
+    Of each label about ``SAMPLE_ROWS`` rows are read: those whose hash lies below a bound that follows from the
+    number of rows. Of their texts, whole ones are taken in the order of the hash as long as they fit into ``SAMPLE_BYTES``, passing over
+    those that do not. Rows without a label are left out, a NULL text counts as empty, a document with several texts counts with the
+    smallest; without labels every text scores one half.
     """
     counts = {r.quality: r["count"] for r in labels.where("quality in (0, 1)").groupBy("quality").count().collect()}
     rows: list[tuple[str, int]] = []
     for label in sorted(counts):
-        ids = (
-            labels.where(F.col("quality") == label).select("doc_id", F.xxhash64("doc_id").alias("draw"))
-            .distinct().orderBy("draw", "doc_id").limit(SAMPLE_ROWS)
-        )
-        # At most SAMPLE_ROWS ids are broadcast, and about as many texts come back.
-        texts = documents.join(F.broadcast(ids), "doc_id").select("draw", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
-        rows += [(r.text, int(label)) for r in texts.orderBy("draw", "text").limit(SAMPLE_ROWS).collect()]
+        drawn = labels.where(F.col("quality") == label).select("doc_id", F.xxhash64("doc_id").alias("draw"))
+        share = int(min(1.0, SAMPLE_ROWS / counts[label]) * (1 << 40))
+        ids = drawn.where(F.pmod("draw", F.lit(1 << 40)) < share).distinct()
+        # About SAMPLE_ROWS ids are broadcast, and as many sizes and digests come back before any text.
+        found = documents.join(F.broadcast(ids), "doc_id").withColumn("text", F.coalesce("text", F.lit("")))
+        sizes = found.groupBy("doc_id", "draw").agg(F.min(F.struct(F.octet_length("text").alias("size"), F.sha2("text", 256).alias("digest"))).alias("of"))
+        room, chosen = SAMPLE_BYTES, []
+        for r in sizes.orderBy("draw", "doc_id").collect():
+            if r.of.size <= room:
+                room -= r.of.size
+                chosen.append(r.of.digest)
+        texts = found.where(F.sha2("text", 256).isin(chosen)).select("text").distinct() if chosen else found.select("text").limit(0)
+        by_digest = {hashlib.sha256(r.text.encode()).hexdigest(): r.text for r in texts.collect()}
+        rows += [(by_digest[digest], int(label)) for digest in chosen]
     ones = sum(label for _, label in rows)
     zeros = len(rows) - ones
     prior = 0.0
