@@ -98,6 +98,17 @@ def most_shared_centres(buckets: DataFrame) -> DataFrame:
     return shared_buckets(buckets.drop("first").join(weight, "id"), F.col("cost")).drop("cost")
 
 
+STAR_ROUNDS = 4
+PAIRS_PER_ROW = 2
+
+
+def _several_components(rows: DataFrame) -> DataFrame:
+    """The rows of (bucket, component, ...) whose bucket holds two components at least."""
+    bucket = Window.partitionBy("bucket")
+    marked = rows.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)})
+    return marked.where("low <> high").drop("low", "high")
+
+
 def linked_components(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
@@ -109,30 +120,46 @@ def linked_components(
     ``buckets`` comes from :func:`shared_buckets`. ``verify`` keeps the similar of the pairs (a, b).
     ``possible`` tells from the columns of two rows whether they can be similar at all; these columns
     come with ``buckets`` or from ``describe``, which adds them to the items (id) that are still open.
+
+    As long as the buckets hold many more pairs of different components than rows, and new links turn up, another star with
+    another centre joins more of them first. All pairs that are left are met.
     """
     star = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(verify(star))
     found = components(links)
-    bucket = Window.partitionBy("bucket")
-    labelled = buckets.where("id <> first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = stored(
-        labelled.withColumns({"low": F.min("component").over(bucket), "high": F.max("component").over(bucket)})
-        .where("low <> high")
-        .drop("low", "high", "first")
-    )
+    labelled = buckets.drop("first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_ = stored(_several_components(labelled))
     if describe is not None:
         open_ = stored(open_.join(describe(open_.select("id").distinct()), "id"))
-    # A pair counts in the smallest bucket that both share, not in all of them.
-    each = open_.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
-    open_ = stored(open_.join(each, "id"))
-    left, right = open_.alias("l"), open_.alias("r")
-    apart = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.id") < F.col("r.id"))
-    apart &= F.col("l.component") != F.col("r.component")
-    apart &= possible(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}"))
-    apart &= F.col("l.bucket") == F.array_min(F.array_intersect("l.buckets", "r.buckets"))
-    rest = left.join(right, apart).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    more = stored(verify(rest))
-    if more.isEmpty():
+
+    def apart(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Pairs of one bucket, of different components, that can be similar."""
+        left, right = left.alias("l"), right.alias("r")
+        met = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.component") != F.col("r.component"))
+        met &= possible(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}"))
+        a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
+        return left.join(right, met).select(a, b).distinct()
+
+    later = []
+    for turn in range(1, STAR_ROUNDS):
+        sizes = open_.groupBy("bucket").agg(F.count("*").alias("n"))
+        rows, pairs = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
+        if pairs <= PAIRS_PER_ROW * rows:
+            break
+        centre = F.min_by("id", F.xxhash64(F.lit(turn), "id")).alias("id")
+        centres = open_.join(open_.groupBy("bucket").agg(centre), ["bucket", "id"], "left_semi")
+        more = stored(verify(apart(centres, open_)))
+        if more.isEmpty():
+            break
+        later.append(more)
+        of = open_.select("id", "component").distinct()
+        ends = more.join(of.toDF("a", "at_a"), "a").join(of.toDF("b", "at_b"), "b")
+        merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")))
+        relabelled = open_.join(merged.toDF("component", "into"), "component", "left")
+        open_ = stored(_several_components(relabelled.withColumn("component", F.coalesce("into", "component")).drop("into")))
+    later.append(stored(verify(apart(open_, open_).where("a < b"))))
+    if all(more.isEmpty() for more in later):
         return found, links
-    links = links.unionByName(more)
+    for more in later:
+        links = links.unionByName(more)
     return components(links), links

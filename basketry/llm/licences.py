@@ -2,8 +2,8 @@
 
 Every line of every file is compared with the templates, and so is each whole text, since a licence file
 is little else. Words weigh by the number of files that hold them, counted over all files, those of
-lines and texts like those of templates. A line can only reach the threshold if it holds a word that carries enough
-of some template's weight, so lines without any such word are passed over; that loses nothing. Vectors are sparse: a
+lines and texts like those of templates. No cosine is larger than the length of the template's vector over the words
+that a text holds, so texts and lines that hold too few of every template's words are passed over; that loses nothing. Vectors are sparse: a
 row per line and word, joined with the words' weights. A file without a licence of its own takes the one of the
 nearest directory above it that holds a licence file. SQL functions only.
 """
@@ -35,27 +35,26 @@ class Weights:
         self.names = [name for name, _ in templates]
         bags = [Counter(re.findall(TERM, text.lower())) for _, text in templates]
         idf = {w: math.log((1 + files) / (1 + counts.get(w, 0))) + 1 for w in set().union(*bags)}
+        self.threshold = threshold
         self.vectors = []
-        self.telling: set[str] = set()
         for bag in bags:
             weight = {w: n * idf[w] for w, n in bag.items()}
             norm = math.sqrt(sum(x * x for x in weight.values()))
             self.vectors.append({w: x / norm for w, x in weight.items()})
-            # The lightest words, as long as all of them together cannot reach the threshold.
-            light = 0.0
-            for w, x in sorted(self.vectors[-1].items(), key=lambda item: (item[1], item[0])):
-                light += x * x
-                if math.sqrt(light) >= threshold:
-                    self.telling.add(w)
+        self.words = sorted(set().union(*self.vectors))
 
-    def tells(self, terms: Column) -> Column:
-        """Whether an array of words holds a telling one."""
-        return F.arrays_overlap(terms, F.array(*[F.lit(w) for w in sorted(self.telling)]))
+    def may_reach(self, terms: Column) -> Column:
+        """Whether an array of words holds enough of some template for the threshold."""
+        squares = [x for w in self.words for x in (F.lit(w), F.array(*[F.lit(v.get(w, 0.0) ** 2) for v in self.vectors]))]
+        table = F.create_map(*squares)
+        held = F.array_intersect(terms, F.array(*[F.lit(w) for w in self.words]))
+        add = lambda total, w: F.zip_with(total, F.element_at(table, w), lambda x, y: x + y)
+        none = F.array(*[F.lit(0.0)] * len(self.vectors))
+        return F.aggregate(held, none, add, lambda total: F.array_max(total) >= self.threshold**2 - 1e-9)
 
     def of_word(self, word: Column) -> Column:
         """The weight of a word in each template; NULL if none has it."""
-        known = sorted(set().union(*self.vectors))
-        entries = [x for w in known for x in (F.lit(w), F.array(*[F.lit(v.get(w, 0.0)) for v in self.vectors]))]
+        entries = [x for w in self.words for x in (F.lit(w), F.array(*[F.lit(v.get(w, 0.0)) for v in self.vectors]))]
         return F.try_element_at(F.create_map(*entries), word)
 
 
@@ -97,8 +96,8 @@ def scan(
     counts = {r.word: r.files for r in words.where(F.col("word").isin(known)).collect()}
     weights = Weights(counts, n_files, templates, threshold)
 
-    # Of a row without a telling word neither text nor key goes on.
-    told = rows.withColumn("tells", F.coalesce(weights.tells(_terms(F.col("text"))), F.lit(False)))
+    # Of a row that holds too little neither text nor key goes on.
+    told = rows.withColumn("tells", F.coalesce(weights.may_reach(_terms(F.col("text"))), F.lit(False)))
     marked = stored(
         told.select(
             "row", "path", F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"),
@@ -108,7 +107,7 @@ def scan(
     )
     texts = marked.where("unit is not null").select("unit", "text").dropDuplicates(["unit"])
     lines = texts.select(F.col("unit").alias("of"), F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    lines = lines.where(weights.tells(_terms(F.col("text"))))
+    lines = lines.where(weights.may_reach(_terms(F.col("text"))))
     lines = stored(lines.select("of", "line", "text", F.sha2(F.col("text").cast("binary"), 256).alias("unit")))
     units = texts.unionByName(lines.select("unit", "text")).dropDuplicates(["unit"])
     terms = units.select("unit", F.explode(_terms(F.col("text"))).alias("word"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import benchmark_leaks, html_text, language, licences, nearest, periodic, pieces, quality, spellings, syncmers
-from basketry.llm.line_dedup import line_classes
+from basketry.llm.line_dedup import line_report
 from basketry.llm.mixing import mix
 from basketry.llm.shingle_join import near_documents
 
@@ -21,22 +21,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document: its non-blank lines, those kept, and which ones go, with the class of each line."""
-    documents = _table(spark, folder, "documents").select("doc_id", "text")
-    lines = line_classes(documents).groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"),
-        F.count_if("kept").alias("n_kept"),
-        F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line")))).alias("dropped_lines"),
-        F.array_sort(F.collect_list(F.struct("line", "class_id"))).alias("line_classes"),
-    )
-    counted = documents.select("doc_id").join(lines, "doc_id", "left")
-    return counted.select(
-        "doc_id",
-        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        F.coalesce("n_kept", F.lit(0)).alias("n_kept"),
-        "dropped_lines",
-        F.col("line_classes.class_id").alias("class_ids"),
-    )
+    return line_report(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,8 +10,9 @@ in one common order, must already meet. Every proof below is for a threshold of
 2. A set is cut into more parts, by ranges of the shingles' hash, than it and a partner can have
    differences. One part at least is then the same in both: a combination of some eight shingles.
    Empty parts say little: a set with more parts that hold something than it can have differences
-   has one of these in common with its partner, and leaves the empty ones out.
-   Sets with no such combination in common with another have no partner. The number of parts must
+   has some of these in common with its partner, and leaves the empty ones out. Each difference spoils one part, so
+   of p parts that a set names and d differences p - d at least are common to both.
+   Sets with fewer combinations in common with all others together have no partner. The number of parts must
    be the same for both, so it is fixed per size class, and a set takes part in its own class and,
    as the smaller partner, in the next. This step needs no statistics and leaves a small part of the corpus.
 3. For the rest shingles are counted and sorted from rare to frequent. Prefixes of ``missing + breaks + 2``
@@ -108,14 +109,17 @@ def size_classes(n: int, threshold: Fraction) -> list[tuple[int, int]]:
 
 
 def _combinations(k: int, threshold: Fraction):
-    """(bucket, id): a hash of each part of each set, named by the set's first key."""
+    """(bucket, id, quota): a hash of each part of each set, named by the set's first key.
+
+    The quota holds the size class, and how many of the set's parts in it a partner must share.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[int, list[tuple[int, int]]] = {}
         for batch in batches:
             seen: set[int] = set()  # copies within a batch count once
             for _, _, sets in _sets(batch.column("text"), k):
-                buckets, ids = [], []
+                buckets, ids, quotas = [], [], []
                 for s, key in zip(sets, _keys(sets)[0]):
                     if not len(s) or int(key) in seen:
                         continue
@@ -135,9 +139,10 @@ def _combinations(k: int, threshold: Fraction):
                                 bucket = bucket[solid]
                             buckets.append(bucket)
                             ids.append(np.full(len(bucket), key, np.uint64))
+                            quotas.append(np.full(len(bucket), (number << 32) + len(bucket) - differences, np.uint64))
                 if buckets:
-                    columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (buckets, ids)]
-                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
+                    columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (buckets, ids, quotas)]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "id", "quota"])
 
     return run
 
@@ -203,8 +208,10 @@ def near_documents(
     named = digest.where("n > 0 and doc_id is not null")
     classes = stored(named.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("id")))
 
-    parts = rows.where("doc_id is not null").select("text").mapInArrow(_combinations(words_per_shingle, t), "bucket long, id long")
-    sharing = shared_buckets(parts).select(F.col("id").alias("key_a")).distinct()
+    parts = rows.where("doc_id is not null").select("text").mapInArrow(_combinations(words_per_shingle, t), "bucket long, id long, quota long")
+    # Copies of a set in several batches name the same parts.
+    shared = shared_buckets(parts).select("id", "quota", "bucket").distinct().groupBy("id", "quota").agg(F.count("*").alias("n"))
+    sharing = shared.where(F.col("n") >= F.col("quota").bitwiseAND((1 << 32) - 1)).select(F.col("id").alias("key_a")).distinct()
     some = stored(classes.join(sharing, "key_a", "left_semi").select("id").distinct())
     texts = rows.join(some, rows.doc_id == some.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
     sets = stored(texts.mapInArrow(_whole_sets(words_per_shingle), SETS))

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import html_text, language, licences, mixing, nearest, pieces, quality, syncmers
+from basketry.llm import html_text, language, licences, line_dedup, mixing, nearest, pieces, quality, syncmers
 from basketry.llm.graph import components
 from basketry.llm.line_dedup import dedup_lines, line_classes
 from basketry.llm.shingle_join import near_documents, one_per_component
@@ -153,6 +153,68 @@ def test_fuzzy_lines(spark):
     assert kept == {0: rows[0][1], 1: "\nanother line here", 3: None, 4: " \n "}
 
 
+def test_lines_of_documents_without_a_name_of_their_own(spark):
+    """A NULL or repeated doc_id: each text keeps its own lines."""
+    copy = "the same opening line in two of the texts"
+    rows = [(None, "only in the text without an id\nand another"), (2, f"a unique opening that nobody else has\n{copy}"), (2, f"{copy}\nsome more words"),
+            (5, "twice the same row\nwith two lines"), (5, "twice the same row\nwith two lines"), (None, None), (None, ""), (None, copy)]
+    documents = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, line string")
+    report = line_dedup.line_report(documents).collect()
+    assert sorted((r.doc_id or 0, r.n_lines, r.n_kept) for r in report) == [(0, 0, 0), (0, 0, 0), (0, 1, 1), (0, 2, 2), (2, 2, 1), (2, 2, 1), (5, 2, 2), (5, 2, 2)]
+    assert [tuple(r) for r in report if r.n_lines == 0] == [(None, 0, 0, None, None)] * 2
+    kept = Counter(r.text for r in dedup_lines(documents).collect())
+    assert kept == Counter([rows[0][1], "a unique opening that nobody else has", "some more words", rows[3][1], rows[4][1], None, "", copy])
+
+
+def test_line_classes_against_brute_force(spark):
+    """Every line's class, wrong merges included, and the report's columns."""
+    draw = random.Random(12)
+    texts = []
+    for _ in range(60):
+        lines = [" ".join(words(draw, draw.randrange(1, 14))) for _ in range(draw.randrange(4))]
+        if texts and draw.random() < 0.7:
+            lines.append(draw.choice(draw.choice(texts).split("\n")) + draw.choice(["", " x", "\r", " w01"]))
+        texts.append("\n".join(lines + [""] * draw.randrange(2)))
+    sets: dict[str, set] = {}
+    for text in texts:
+        for line in (part.strip(" \t\n\x0b\x0c\r") for part in text.split("\n")):
+            if line:
+                sets[line] = {line[i : i + 8] for i in range(max(len(line) - 7, 1))}
+    group = {line: line for line in sets}
+    for a in sets:
+        for b in sets:
+            if group[a] != group[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                old, new = sorted((group[a], group[b]), reverse=True)
+                group = {line: new if g == old else g for line, g in group.items()}
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen: dict[str, int] = {}
+    for r in sorted(line_dedup.line_report(documents).collect()):
+        found = [(i, group[line]) for i, line in enumerate(part.strip(" \t\n\x0b\x0c\r") for part in texts[r.doc_id].split("\n")) if line]
+        assert r.n_lines == len(found) == r.n_kept + len(r.dropped_lines or [])
+        dropped = []
+        for (i, name), class_ in zip(found, r.class_ids or []):
+            if name in seen:
+                dropped.append(i)
+            assert seen.setdefault(name, class_) == class_
+        assert (r.dropped_lines or []) == dropped
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_shingles_of_spans_in_any_order():
+    draw = random.Random(1)
+    for _ in range(200):
+        lines = ["".join(draw.choice("abé漢😀") for _ in range(draw.randrange(1, 20))) for _ in range(draw.randrange(1, 6))]
+        data = np.frombuffer("|".join(lines).encode(), np.uint8)
+        ends = np.cumsum([len(x.encode()) + 1 for x in lines]) - 1
+        starts = ends - [len(x.encode()) for x in lines]
+        chars, order = draw.choice([1, 2, 3, 5, 8]), np.array(draw.sample(range(len(lines)), len(lines)))
+        hashes, line = line_dedup._shingles(data, starts[order], ends[order], chars)
+        got = [set(hashes[line == i].tolist()) for i in range(len(lines))]
+        expected = [{x[i : i + chars] for i in range(len(x) - chars + 1)} or {x} for x in (lines[k] for k in order)]
+        assert [len(g) for g in got] == [len(e) for e in expected]
+        assert [len(a & b) for a in got for b in got] == [len(a & b) for a in expected for b in expected]
+
+
 def test_line_recall_against_brute_force(spark):
     draw = random.Random(2)
     lines = []
