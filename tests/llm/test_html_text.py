@@ -1,0 +1,103 @@
+"""Main text of pages: broken and long pages, neutral names, and a plain reading of the sample pages."""
+
+from __future__ import annotations
+
+import html
+import random
+import re
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.llm import html_text
+from basketry.llm.queries import op5_html_text
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def article_of(page: str) -> str:
+    """The blocks between the article's tags, read with regular expressions."""
+    inner = re.search(r"<article[^>]*>(.*?)</article>", page, re.S)
+    body = inner[1] if inner else page
+    body = re.sub(r"<!--.*?-->|<(script|style|aside|form|nav|footer)\b.*?</\1>", "", body, flags=re.S)
+    body = re.sub(r'<(div|section|ul|ol|p)\b[^>]*(?:class|id)="[^"]*(?:ad|comment|notice|cookie|related|share)[^"]*".*?</\1>', "", body, flags=re.S)
+    blocks = re.split(r"</?(?:p|h\d|div|li|ul|ol|section|blockquote|header|table|tr|td|th|pre|figure|figcaption)\b[^>]*>", body)
+    texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", b))).split()) for b in blocks]
+    return "\n\n".join(t for t in texts if t)
+
+
+def test_sample_pages_read_plainly(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    got = {r.page_id: r for r in op5_html_text(spark, SMALL).collect()}
+    assert len(got) == len(pages)
+    same = [got[p.page_id].text == article_of(p.html or "") for p in pages]
+    assert all(len(r.text) == r.n_chars for r in got.values())
+    assert sum(same) == len(same)
+
+
+def neutral(page: str, *elements: str) -> str:
+    """The page with nothing but div for these elements, and the same class everywhere."""
+    page = re.sub(rf"<(/?)(?:{'|'.join(elements)})\b", r"<\1div", page)
+    return re.sub(r'\b(?:class|id)="[^"]*"', 'class="x"', page)
+
+
+def test_ratios_choose_the_article_where_names_cannot_help(spark):
+    pages = [r.html or "" for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    whole = [html_text.main_text(p) for p in pages]
+    long_ = [i for i, text in enumerate(whole) if len(text) > 600]
+    assert len(long_) > 150
+    found = [html_text.main_text(neutral(pages[i], "article", "main", "nav", "footer", "header", "aside", "section", "form")) for i in long_]
+    assert sum(found[k] == whole[i] for k, i in enumerate(long_)) >= 0.98 * len(long_)
+    named = [html_text.main_text(re.sub(r"<(/?)(?:article|main)\b", r"<\1div", p)) for p in pages]
+    assert sum(a == b for a, b in zip(named, whole)) >= 0.98 * len(pages)
+
+
+LONG = "A sentence that goes on for a while, as sentences in articles do, without any link at all. " * 4
+
+
+@pytest.mark.parametrize("inner, outer", [("article", "main"), ("div", "div"), ("section", "div")])
+def test_short_blocks_stay_and_sparse_parts_go(inner, outer):
+    page = f"""<html><body><div><a href=1>Home</a> <a href=2>News</a> <a href=3>About</a></div><{outer}><{inner}>
+    <h1>Title</h1><p>Short.</p><p>{LONG}</p><ul><li>One</li><li>Two</li></ul><div class=ad>Buy now</div><p>{LONG}&amp; more</p>
+    <div><a href=x>Next page of this</a></div><p>The end.</p></{inner}></{outer}><div><a href=4>Imprint</a></div></body></html>"""
+    sentence = LONG.strip()
+    assert html_text.main_text(page) == "\n\n".join(["Title", "Short.", sentence, "One", "Two", f"{sentence} & more", "The end."])
+
+
+def test_comments_with_long_prose_are_left_out():
+    page = f"<body><div><h2>Heading</h2><div><p>{LONG}</p><p>{LONG}</p></div><div id=comments><p>{LONG[:200]}</p><p>Nice.</p></div></div></body>"
+    assert html_text.main_text(page) == "\n\n".join(["Heading", LONG.strip(), LONG.strip()])
+
+
+def test_broken_pages_give_a_text():
+    draw = random.Random(7)
+    bits = ["<![foo[ bar", "<![CDATA[x]]>", "<!", "<!--", "-->", "<", "</", "<p", "<p>", "</p>", "</div>", "<div class='ad'>", "&", "&#", "&#x110000;", "&amp",
+            "<a href=\"", "'>", "<b>", "<br/>", "<script>", "</script>", "<article>", "</article>", "word ", "é漢😀", "\x00", "<?php", "?>", "<!doctype", "<svg/>", "]]>"]
+    for bit in bits:
+        html_text.main_text(bit)
+        html_text.main_text(f"<p>{LONG}</p>{bit}<p>after it")
+    for _ in range(3000):
+        html_text.main_text("".join(draw.choice(bits) for _ in range(draw.randrange(1, 25))))
+    assert html_text.main_text("") == html_text.main_text("<p> </p>") == ""
+    assert LONG.strip() in html_text.main_text(f"<p>{LONG}</p><![foo[ bar")
+
+
+@pytest.mark.parametrize("piece", ["<b>x", "<div>y ", "</b>x", "<p><a>z", "<article><b>w</i>", "<h2>t", "<ul><li>u", "<div class=ad><p>v"])
+def test_work_grows_with_the_page(piece):
+    seconds = []
+    for n in (4_000, 32_000):
+        begin = time.process_time()
+        html_text.main_text(piece * n)
+        seconds.append(time.process_time() - begin)
+    # Eight times the page, at most twice that in time; the square would be 64 times.
+    assert seconds[1] < 16 * seconds[0] + 1
+
+
+def test_rows_come_back_each_by_itself(spark):
+    rows = [(1, "u", f"<p>{LONG}</p>", "old"), (1, "u", f"<p>{LONG}</p>", "old"), (None, None, None, "old"), (2, "", "<![foo[ bar", None), (3, "v", "", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_text.extract(pages)
+    assert got.columns == ["page_id", "url", "text"]
+    assert sorted((r.page_id or 0, r.text[:6]) for r in got.collect()) == [(0, ""), (1, "A sent"), (1, "A sent"), (2, got.where("page_id = 2").first().text[:6]), (3, "")]
+    assert html_text.extract(pages.limit(0)).withColumn("n", F.length("text")).collect() == []
