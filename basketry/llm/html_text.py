@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 SIGMA = 1.5  # of the Gaussian, in lines
 MARKED_WEIGHT = 0.05  # of a character in a part whose name says that it is no main text
+RECOVERIES = 50  # unfinished tags of a page that are passed over one by one
 REGION_SHARE = 0.6  # of a container's dense text: a part with that much is looked into further
 
 # Elements that begin a block, that hold other blocks, that hold nothing, whose text is not shown as text.
@@ -81,6 +82,23 @@ class _Lines(HTMLParser):
         self.tags = self.linked = 0
         self.heading = False
 
+    def read(self, html: str) -> None:
+        """Parse a page. A tag or comment that never ends is passed over up to the next ``>``.
+
+        Looking for its end takes the whole rest of the page, so after ``RECOVERIES`` of them the rest goes.
+        """
+        self.feed(html)
+        for _ in range(RECOVERIES):
+            rest = self.rawdata
+            if not rest.startswith("<") or ">" not in rest:
+                break
+            self.rawdata = ""
+            self.feed(rest[rest.index(">") + 1 :])
+        if self.rawdata.startswith("<"):
+            self.rawdata = ""
+        self.close()
+        self.flush()
+
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """A marked section, which HTML does not have, is a comment, whatever it holds."""
         return self.parse_bogus_comment(i)
@@ -198,9 +216,7 @@ def _upwards(values: np.ndarray, around: np.ndarray) -> np.ndarray:
 def main_text(html: str) -> str:
     """The main text of one page: its blocks in page order, joined by an empty line."""
     parser = _Lines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
+    parser.read(html)
     lines, parts = parser.lines, parser.parts
     if not lines:
         return ""

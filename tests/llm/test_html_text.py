@@ -81,9 +81,11 @@ def test_broken_pages_give_a_text():
         html_text.main_text("".join(draw.choice(bits) for _ in range(draw.randrange(1, 25))))
     assert html_text.main_text("") == html_text.main_text("<p> </p>") == ""
     assert LONG.strip() in html_text.main_text(f"<p>{LONG}</p><![foo[ bar")
+    unclosed = html_text.main_text(f'<p>{LONG}</p><p><a href="x>link</a> {LONG}</p><p>{LONG}</p>')
+    assert unclosed.count(LONG.strip()) == 3
 
 
-@pytest.mark.parametrize("piece", ["<b>x", "<div>y ", "</b>x", "<p><a>z", "<article><b>w</i>", "<h2>t", "<ul><li>u", "<div class=ad><p>v"])
+@pytest.mark.parametrize("piece", ["<b>x", "<div>y ", "</b>x", "<p><a>z", "<article><b>w</i>", "<h2>t", "<ul><li>u", "<div class=ad><p>v", "<a ", "<a href='", "<!-- ", "<a b=c ", "<!-- >x", "<a href=\"x>y "])
 def test_work_grows_with_the_page(piece):
     seconds = []
     for n in (4_000, 32_000):
