@@ -4,7 +4,8 @@ A text is a sequence of words, a k-mer is ``k`` words in a row, its inner substr
 A k-mer is a closed syncmer, and so an anchor, if the smallest hash of its inner substrings is
 that of the first or the last one. Whether it is depends on its own words only, so an edit moves no
 anchor outside the k-mers it touches, and any ``k`` - ``s`` + 1 k-mers in a row hold an anchor. Words longer
-than ``PIECE`` characters count as several, so texts without spaces have anchors too.
+than ``PIECE`` characters count as several, which end where a vowel, an even digit or any character beyond
+Latin-1 stands: again by their own characters only, so texts without spaces have anchors that no edit before them moves.
 
 The fingerprint lists the anchors in text order, each as its distance from the one before, in words, and
 a 32-bit hash: ``"0-1a2b3c4d 3-..."``. Two fingerprints can be matched by hash, and by place.
@@ -20,7 +21,9 @@ from basketry.llm.storage import stored
 K = 8
 S = 2
 PIECE = 24
-WORD = r"[^\x20\x09-\x0D]{1,%d}" % PIECE
+_SPACE, _END = r"\x20\x09-\x0D", r"aeiouyAEIOUY02468\x{100}-\x{10FFFF}"
+# A whole word, or a piece of one that is too long.
+WORD = rf"(?<![^{_SPACE}])[^{_SPACE}]{{1,{PIECE}}}+(?![^{_SPACE}])|[^{_SPACE}{_END}]*[{_END}]|[^{_SPACE}{_END}]+"
 
 
 def with_anchors(rows: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
@@ -95,7 +98,7 @@ def with_next(rows: DataFrame, ranges: int) -> DataFrame:
     edges = rows.join(F.broadcast(ends), F.col("doc_id") == F.col("largest"))
     edges = edges.groupBy("doc_id", "into").agg(F.min("text").alias("text"))
     edges = edges.select("doc_id", "text", F.col("into").alias("range"), F.lit(True).alias("edge"))
-    return rows.withColumn("edge", F.lit(False)).unionByName(edges).repartition("range")
+    return rows.withColumn("edge", F.lit(False)).unionByName(edges).repartitionByRange(ranges, "range")
 
 
 def fingerprints(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:

@@ -425,6 +425,73 @@ def test_syncmers_are_context_free(spark):
     assert max(y.place - x.place for x, y in zip(a, a[1:])) <= syncmers.K - syncmers.S + 1
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "漢字仮名交文東京都市大学生活動", "ABCDEF0123456789+/é"])
+def test_unspaced_texts_that_begin_differently_are_alike(spark, letters):
+    draw = random.Random(8)
+    base = "".join(draw.choice(letters) for _ in range(4000))
+    rows = spark.createDataFrame([(0, base), (1, letters[3] + base), (2, base[700:])], "doc_id long, text string")
+    marks = {r.doc_id: {a.hash for a in r.anchors} for r in syncmers.fingerprints(rows).collect()}
+    assert len(marks[0]) > 100
+    assert len(marks[0] & marks[1]) >= 0.95 * len(marks[0] | marks[1])
+    assert len(marks[0] & marks[2]) >= 0.95 * len(marks[2])
+
+
+def pieces_of(text: str) -> list[str]:
+    """Words, and pieces of words longer than the limit, each ending with an end character."""
+    ends = re.compile("[aeiouyAEIOUY02468\u0100-\U0010ffff]")
+    out = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        piece = word if len(word) <= syncmers.PIECE else ""
+        for c in word if not piece else "":
+            piece += c
+            if ends.match(c):
+                out.append(piece)
+                piece = ""
+        out += [piece] if piece else []
+    return out
+
+
+def test_syncmers_against_brute_force(spark, awkward):
+    """Anchors, places and likenesses from plain lists; only the hashes themselves are Spark's."""
+    documents = awkward.where("doc_id is not null and (text is null or length(text) < 20000)").dropDuplicates(["doc_id"])
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    texts[50] = "x" * 30 + "unspacedwordsthatgoonandonwithoutanyend" * 3 + " " + " ".join(VOCABULARY[:9])
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    order = sorted(texts, reverse=True)
+    after = {doc: texts[order[(i + 1) % len(order)]] for i, doc in enumerate(order)}
+    edited = {d: t[: len(t) - len(t) // 3] + after[d][: len(t) // 3] for d, t in texts.items()}
+    parts = {t: pieces_of(t) for t in {*texts.values(), *edited.values()}}
+    vocabulary = sorted({w for p in parts.values() for w in p})
+    of_word = {r.w: r.h for r in spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    pairs = {(of_word[a], of_word[b]) for p in parts.values() for a, b in zip(p, p[1:])}
+    of_pair = {(r.a, r.b): r.h for r in spark.createDataFrame(sorted(pairs), "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("h")).collect()}
+    k, inner = syncmers.K, syncmers.K - 1
+    found = {}
+    for text, p in parts.items():
+        h = [of_word[w] for w in p]
+        runs = [of_pair[x] for x in zip(h, h[1:])]
+        places = [i for i in range(len(h) - k + 1) if min(runs[i : i + inner]) in (runs[i], runs[i + inner - 1])] if len(h) >= k else [0] if h else []
+        found[text] = [(i, tuple(h[i : i + k])) for i in places]
+    grams = sorted({g for anchors in found.values() for _, g in anchors})
+    hashed = spark.createDataFrame([(list(g),) for g in grams], "g array<long>").select("g", F.hash("g").alias("h")).collect()
+    of_gram = {tuple(r.g): r.h for r in hashed}
+    marks = {text: [(i, of_gram[g]) for i, g in anchors] for text, anchors in found.items()}
+
+    def printed(anchors):
+        return " ".join(f"{i - before}-{h & 0xFFFFFFFF:08x}" for (i, h), before in zip(anchors, [0, *[i for i, _ in anchors]]))
+
+    def alike(a, b):
+        a, b = {h for _, h in a}, {h for _, h in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    got = {r.doc_id: r for r in syncmers.edited_likeness(documents).collect()}
+    assert len(got) == len(texts)
+    for d, text in texts.items():
+        own, changed, next_ = marks[text], marks[edited[d]], marks[after[d]]
+        assert got[d].fingerprint == printed(own) and got[d].edited_fingerprint == printed(changed)
+        assert got[d].near_edited == pytest.approx(alike(own, changed)) and got[d].near_next == pytest.approx(alike(own, next_))
+
+
 def test_licences(spark):
     rows = [
         ("a/LICENSE", "Released under the MIT License."), ("a/b/c/code", "int main;"), ("a/b/own", "x\nLicensed under the Apache License, Version 2.0.\ny"),
