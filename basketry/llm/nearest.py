@@ -8,7 +8,8 @@ is ranked by the distance of the original vectors.
 
 The radius is learned too: it is where the true neighbours of sampled queries lie within the sample,
 which are farther than those within everything. A query that finds too few within it is asked
-again over all codes.
+again over all codes. The sample also bounds each query's answer: what is farther than its k nearest in the
+sample cannot be among the k nearest of all, and is not passed on.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ from basketry.llm.storage import stored
 BITS = 64
 PARTS = 8
 WIDTH = BITS // PARTS
-SAMPLE_ROWS = 8000  # bound of the sample that rotation and radius are learned on
+SAMPLE_ROWS = 8000  # about so many rows, that rotation, radius and bounds are learned on
 SAMPLE_QUERIES = 200
-BLOCK_ROWS = 4000  # rows of one index value that one task compares at a time
+BLOCK_ROWS = 4000  # rows of one index value that are kept at a time
 
 
 @dataclass
@@ -88,49 +89,69 @@ def _probes(within: int) -> list[int]:
     return [mask for mask in range(1 << WIDTH) if mask.bit_count() <= within]
 
 
+def _bounded(codes: Codes, ids: np.ndarray, sample: np.ndarray, k: int):
+    """Adds each query's code, and the distance of its k-th nearest row in the sample (infinite, if there are fewer)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _coded(codes)(batches):
+            bounds = np.full(len(batch), np.inf)
+            vectors = np.array(batch.column("vector").values, float).reshape(len(batch), -1) if len(batch) else ()
+            for i, (vec_id, vector) in enumerate(zip(batch.column("vec_id").to_pylist(), vectors)):
+                distance = np.sqrt(((sample[ids != vec_id] - vector) ** 2).sum(axis=1))
+                if len(distance) >= k:
+                    bounds[i] = np.partition(distance, k - 1)[k - 1]
+            yield batch.append_column("bound", pa.array(bounds))
+
+    return run
+
+
 def _ranked(k: int, radius: int):
-    """Of one index value (and salt): its rows against the queries that probe it."""
-
-    def run(rows: Iterator[pa.RecordBatch], queries: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = [b for b in queries if len(b)]
-        best: dict[int, list[tuple[float, int]]] = {}
-        if asked:
-            asked_ids = np.concatenate([np.array(b.column("query_id")) for b in asked])
-            asked_codes = np.concatenate([np.array(b.column("query_code")).view(np.uint64) for b in asked])
-            asked_vectors = np.concatenate([np.array(b.column("query_vector").values, float).reshape(len(b), -1) for b in asked])
-            asked_part = int(asked[0].column("part")[0].as_py())
-        for batch in rows if asked else ():
+    """Rows sorted by index value (and salt), codes before the queries that probe it: a block of codes is kept, queries stream by."""
+    # A bound that was added up in another order may differ in its last bits.
+    slack = 1 + 1e-12
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, code, ids, vectors = None, [], [], []
+        for batch in batches:
             if not len(batch):
                 continue
-            code = np.array(batch.column("code")).view(np.uint64)
-            vectors = np.array(batch.column("vector").values, float).reshape(len(batch), -1)
-            ids = np.array(batch.column("vec_id"))
-            for i, query in enumerate(asked_ids):
-                apart = code ^ asked_codes[i]
-                hit = np.bitwise_count(apart) <= radius
-                # A code within the radius is found in several substrings; the first of them reports it.
-                for part in range(asked_part):
-                    shift = np.uint64(BITS - WIDTH * (part + 1))
-                    piece = (apart >> shift) & np.uint64((1 << WIDTH) - 1)
-                    hit &= np.bitwise_count(piece) > radius // PARTS
-                at = np.flatnonzero(hit & (ids != query))
-                if len(at):
-                    distance = np.sqrt(((vectors[at] - asked_vectors[i]) ** 2).sum(axis=1))
-                    order = np.lexsort((ids[at], distance))[: k + 1]
-                    found = best.get(int(query), []) + list(zip(distance[order].tolist(), ids[at][order].tolist()))
-                    best[int(query)] = sorted(found)[: k + 1]
-        triples = [(q, v, d) for q, found in best.items() for d, v in found]
-        columns = list(zip(*triples)) if triples else ([], [], [])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())],
-            ["query_id", "vec_id", "score"],
-        )
-
-    def tables(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        out = list(run(iter(rows.to_batches(max_chunksize=BLOCK_ROWS)), iter(queries.to_batches())))
-        return pa.Table.from_batches(out)
-
-    return tables
+            keys = np.stack([np.array(batch.column(c)) for c in ("part", "value", "salt", "kind")], axis=1).astype(np.int64)
+            cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1), len(batch)]
+            of_code = np.array(batch.column("code")).view(np.uint64)
+            of_id, bounds = np.array(batch.column("id")), np.array(batch.column("bound"))
+            of_vector = np.array(batch.column("vector").values, float).reshape(len(batch), -1)
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if group != tuple(keys[a, :3]):
+                    group, code, ids, vectors = tuple(keys[a, :3]), [], [], []
+                if keys[a, 3] == 0:
+                    code.append(of_code[a:b])
+                    ids.append(of_id[a:b])
+                    vectors.append(of_vector[a:b])
+                    continue
+                if not code:
+                    continue
+                code, ids, vectors = [np.concatenate(code)], [np.concatenate(ids)], [np.concatenate(vectors)]
+                for i in range(a, b):
+                    apart = code[0] ^ of_code[i]
+                    hit = np.bitwise_count(apart) <= radius
+                    # A code within the radius is found in several substrings; the first of them reports it.
+                    for part in range(group[0]):
+                        shift = np.uint64(BITS - WIDTH * (part + 1))
+                        piece = (apart >> shift) & np.uint64((1 << WIDTH) - 1)
+                        hit &= np.bitwise_count(piece) > radius // PARTS
+                    at = np.flatnonzero(hit & (ids[0] != of_id[i]))
+                    distance = np.sqrt(((vectors[0][at] - of_vector[i]) ** 2).sum(axis=1))
+                    near = distance <= bounds[i] * slack
+                    at, distance = at[near], distance[near]
+                    order = np.lexsort((ids[0][at], distance))[: k + 1]
+                    if len(order):
+                        found.append((np.full(len(order), of_id[i]), ids[0][at][order], distance[order]))
+            if found:
+                columns = [pa.array(np.concatenate(x)) for x in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
+    return run
 
 
 def search(embeddings: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
@@ -153,15 +174,21 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     if not sizes:
         return embeddings.sparkSession.createDataFrame([], empty)
     rows = rows.where(F.size("vector") == sizes[0]["size"])
-    sample = rows.select("vector", F.xxhash64("vec_id").alias("draw")).orderBy("draw", "vector").limit(SAMPLE_ROWS).collect()
-    codes = learn(np.array([r.vector for r in sample], float), k)
+    share = min(1.0, SAMPLE_ROWS / max(sizes[0]["count"], 1))
+    drawn = rows.withColumn("draw", F.xxhash64("vec_id")).where(F.pmod("draw", F.lit(1 << 40)) < int(share * (1 << 40)))
+    drawn = drawn.dropDuplicates(["vec_id", "vector"]).select("draw", "vec_id", "vector").toArrow().sort_by([("draw", "ascending"), ("vec_id", "ascending")])
+    sample = np.array(drawn["vector"].to_pylist(), float).reshape(len(drawn), sizes[0]["size"])
+    codes = learn(sample, k) if len(sample) else learn(np.ones((1, sizes[0]["size"])), k)
+    known = np.array(drawn["vec_id"].to_pylist(), np.int64)
 
     # Equal vectors: the limit on the rank is applied in every map task before the shuffle.
     place = Window.partitionBy("vector").orderBy("vec_id")
     kept = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1).drop("place", "asks")
     kept = stored(kept.mapInArrow(_coded(codes), "vec_id long, vector array<double>, code long"))
-    asked = rows.where("asks").select("vec_id", "vector").mapInArrow(_coded(codes), "vec_id long, vector array<double>, code long")
-    asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query_vector"), F.col("code").alias("query_code")))
+    asked = rows.where("asks").select("vec_id", "vector").mapInArrow(
+        _bounded(codes, known, sample, k), "vec_id long, vector array<double>, code long, bound double"
+    )
+    asked = stored(asked.withColumnRenamed("vec_id", "query_id"))
     total = kept.count()
 
     found = stored(_probe(kept, asked, k, codes.radius, total))
@@ -176,23 +203,28 @@ def _probe(kept: DataFrame, asked: DataFrame, k: int, radius: int, total: int) -
     """The k nearest of all codes within the radius. At the full radius one substring finds every code."""
     parts = PARTS if radius < BITS else 1
     masks = _probes(min(radius // PARTS, WIDTH))
-    # Blocks of a substring value, so that a value that many codes share is the work of many tasks.
-    salts = max(1, -(-total // (BLOCK_ROWS << WIDTH)) * 4)
     part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
     cut = lambda code: F.expr(f"int(shiftrightunsigned({code}, {BITS - WIDTH} - {WIDTH} * part) & {(1 << WIDTH) - 1})")
     index = kept.select("vec_id", "vector", "code", part).withColumn("value", cut("code"))
-    index = index.withColumn("salt", F.pmod(F.xxhash64("vec_id", "code"), F.lit(salts)).cast("int"))
-    probes = asked.select("query_id", "query_vector", "query_code", part).withColumn("own", cut("query_code"))
-    probes = probes.select(
-        "query_id", "query_vector", "query_code", "part", "own", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask")
-    )
+    # At most PARTS << WIDTH counts. A value that many codes share is dealt out in blocks.
+    counts = index.groupBy("part", "value").count().collect()
+    if not counts:
+        return kept.sparkSession.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    blocks = F.create_map(*[x for r in counts for x in (F.lit(r.part << WIDTH | r.value), F.lit(-(-r["count"] // BLOCK_ROWS)))])
+    of_value = F.try_element_at(blocks, (F.col("part") * (1 << WIDTH) + F.col("value")).cast("int"))
+    index = index.select(
+        "part", "value", F.pmod(F.xxhash64("vec_id", "code"), of_value).cast("int").alias("salt"), F.lit(0).alias("kind"),
+        F.col("vec_id").alias("id"), "code", "vector", F.lit(0.0).alias("bound"),
+    )
+    probes = asked.select("query_id", "vector", "code", "bound", part).withColumn("own", cut("code"))
+    probes = probes.select("*", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
+    probes = probes.withColumn("value", F.col("own").bitwiseXOR(F.col("mask"))).withColumn("blocks", of_value).where("blocks > 0")
     probes = probes.select(
-        "query_id", "query_vector", "query_code", "part", F.col("own").bitwiseXOR(F.col("mask")).alias("value"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        "part", "value", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"), F.lit(1).alias("kind"),
+        F.col("query_id").alias("id"), "code", "vector", "bound",
     )
-    keys = ["part", "value", "salt"]
-    partial = index.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(
-        _ranked(k, radius), "query_id long, vec_id long, score double"
-    )
+    tasks = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = index.unionByName(probes).repartition(tasks, "part", "value", "salt").sortWithinPartitions("part", "value", "salt", "kind")
+    partial = dealt.mapInArrow(_ranked(k, radius), "query_id long, vec_id long, score double")
     nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return partial.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)

@@ -309,6 +309,27 @@ def test_nearest_recall(spark, d):
     assert hit >= 0.9 * 60
 
 
+@pytest.mark.parametrize("sample", [8000, 50, 0])
+def test_nearest_with_any_sample_and_block(spark, monkeypatch, sample):
+    """Ties between different vectors, repeated ids, a hot vector in several blocks; the bound loses nothing."""
+    monkeypatch.setattr(nearest, "SAMPLE_ROWS", sample)
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 20)
+    x = np.round(vectors(240, 6), 1)
+    x[x.any(axis=1) == 0] = 1.0
+    x[60:150] = x[0]
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)] + [(7, [float(v) for v in x[3]]), (7, [float(v) for v in x[7]])]
+    got: dict[int, list] = {}
+    for r in sorted(nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect()):
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+    hit = 0
+    for q in (0, 100, 200):
+        all_ = sorted({(round(float(np.sqrt(((np.array(v) - x[q]) ** 2).sum())), 9), i) for i, v in rows if i != q})
+        wanted = [(i, d) for d, i in all_[:10]]
+        assert len(got[q]) == 10 and [d for _, d in got[q]] == sorted(d for _, d in got[q])
+        hit += len(set(wanted) & set(got[q]))
+    assert hit >= 27 and got[0] == [(i, 0.0) for i in range(60, 70)]
+
+
 def test_nearest_with_few_rows(spark):
     table = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in nearest.search(table, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 1.0)]
