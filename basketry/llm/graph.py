@@ -113,24 +113,22 @@ def linked_components(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     possible: Callable[[Callable, Callable], Column],
-    describe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Components and verified links of items that share a bucket.
 
-    ``buckets`` comes from :func:`shared_buckets`. ``verify`` keeps the similar of the pairs (a, b).
-    ``possible`` tells from the columns of two rows whether they can be similar at all; these columns
-    come with ``buckets`` or from ``describe``, which adds them to the items (id) that are still open.
+    ``buckets`` comes from :func:`shared_buckets`; its other columns describe the item. ``verify`` keeps the similar of the
+    pairs (a, b). ``possible`` tells from these columns of two items whether they can be similar at all.
 
     As long as the buckets hold many more pairs of different components than rows, and new links turn up, another star with
     another centre joins more of them first. All pairs that are left are met.
     """
-    star = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(verify(star))
+    star = buckets.where("id <> first").drop("bucket").distinct().alias("l")
+    centre = buckets.where("id = first").drop("bucket", "first").distinct().alias("r")
+    both = (F.col("l.first") == F.col("r.id")) & possible(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}"))
+    links = stored(verify(star.join(centre, both).select(F.col("l.first").alias("a"), F.col("l.id").alias("b"))))
     found = components(links)
     labelled = buckets.drop("first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = stored(_several_components(labelled))
-    if describe is not None:
-        open_ = stored(open_.join(describe(open_.select("id").distinct()), "id"))
 
     def apart(left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs of one bucket, of different components, that can be similar."""
