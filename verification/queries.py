@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from basketry.operators import checks, insights, intermediate, kpis, marts, profile, staging
+from basketry.operators import checks, insights, intermediate, kpis, marts, profile
 from basketry.operators.ranking import Score, global_ntile
 from basketry.operators.staging import STAGING_MODELS
 from basketry.plans.build import SOURCES, Build, run_pipeline
