@@ -54,6 +54,9 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     # Runs of edges shrink to one.
     keep = letter.copy()
     keep[1:] |= letter[:-1]
+    # What stands in the text before has no say.
+    first = offsets[:-1][np.diff(offsets) > 0]
+    keep[first] = letter[first]
     folded, text, letter = folded[keep].astype(np.uint64), text[keep], letter[keep]
     found, of = [], []
     for n in GRAMS:

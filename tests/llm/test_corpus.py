@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import html_text, language, licences, line_dedup, mixing, nearest, pieces, quality, syncmers
+from basketry.llm import html_text, language, licences, line_dedup, mixing, nearest, pieces, quality, syncmers, utf8
 from basketry.llm.graph import components
 from basketry.llm.line_dedup import dedup_lines, line_classes
 from basketry.llm.shingle_join import near_documents, one_per_component
@@ -513,6 +513,74 @@ def test_syncmers_against_brute_force(spark, awkward):
         assert got[d].near_edited == pytest.approx(alike(own, changed)) and got[d].near_next == pytest.approx(alike(own, next_))
 
 
+def naive_language(model, text: str) -> tuple[str, float]:
+    """One text, subword by subword."""
+    bytes_ = [c + 32 if 65 <= c <= 90 else c for c in text.encode()]
+    folded: list[int] = []
+    for c in bytes_:
+        letter = 97 <= c <= 122 or c >= 128
+        if letter or (folded and folded[-1] != 32):
+            folded.append(c if letter else 32)
+    logits, n = np.zeros(len(model.languages)), 0
+    for size in language.GRAMS:
+        for i in range(len(folded) - size + 1):
+            gram = folded[i : i + size]
+            if 32 not in gram[1:-1]:
+                key = size
+                for c in gram:
+                    key = (key * 0x100000001B3 + c) % 2**64
+                bucket = int(utf8.mix(np.array([key], np.uint64))[0]) % language.BUCKETS
+                logits += model.table[bucket]
+                n += 1
+    chance = np.exp(logits / max(n, 1) + model.bias)
+    chance /= chance.sum()
+    return model.languages[int(chance.argmax())], float(chance.max())
+
+
+def test_languages_against_a_naive_scorer(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.train(documents.select("doc_id", "text", "lang"))
+    texts = [r.text[:400] for r in documents.limit(40).collect() if r.text] + [" leading", "ab", "x", " 1 é", "“Quoted” text", "A\n\nB  c"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for r in language.identify(frame, model).collect():
+        name, score = naive_language(model, texts[r.doc_id])
+        if r.score:
+            assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-4)
+
+
+def test_quality_against_a_naive_scorer(spark):
+    model = quality.fit([("good text " * 60, 1), ("BAD!! " * 90, 0), ("more of it " * 200, 1)] * 6, epochs=3)
+    texts = ["", "a", "good text " * 12 + "é", "x" * 127, "y" * 128, "BAD!! " * 60, "z" * 700 + " good text"]
+
+    def naive(text: str) -> float:
+        data = list(text.encode()) or [0]
+        padded = data + [0] * quality.WIDTH
+        answers = np.array([sum(model.filters[k][padded[i + k]] for k in range(quality.WIDTH)) for i in range(len(data))])
+        segments = [answers[i : i + quality.SEGMENT].max(axis=0) for i in range(0, len(data), quality.SEGMENT)]
+        chunks = [np.maximum(a, b) for a, b in zip(segments, segments[1:])] or segments
+        scores = [np.maximum(c + model.bias, 0) @ model.layer + model.chunk_bias for c in chunks]
+        logit = model.mean_weight * np.mean(scores) + model.worst_weight * min(scores) + model.offset + model.prior
+        return 1 / (1 + np.exp(-logit))
+
+    got = dict(quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect())
+    assert [got[i] for i in range(len(texts))] == pytest.approx([naive(t) for t in texts], abs=1e-4)
+
+
+def test_rare_languages_are_learned_and_samples_bounded(spark, monkeypatch):
+    """A language of few rows next to a frequent one; what is drawn does not grow with the rows."""
+    draw = random.Random(4)
+    rows = [(i, " ".join(words(draw, 30)), "w") for i in range(3000)]
+    rows += [(5000 + i, " ".join(f"zz{draw.choice('äöü')}q" for _ in range(30)), "z") for i in range(12)] + [rows[0]] * 50
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 200)
+    seen = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda samples: seen.append(len(samples)) or fit(samples))
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["w", "z"] and 70 <= seen[0] <= 190
+    named = language.identify(spark.createDataFrame([(1, "zzäq zzöq"), (2, rows[7][1])], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in named.collect()} == {1: "z", 2: "w"}
+
+
 def test_licences(spark):
     rows = [
         ("a/LICENSE", "Released under the MIT License."), ("a/b/c/code", "int main;"), ("a/b/own", "x\nLicensed under the Apache License, Version 2.0.\ny"),
