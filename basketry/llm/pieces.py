@@ -147,6 +147,9 @@ def _pieces(content: bytes, threads: int):
                     ["row", "piece_ids", "decoded"],
                 )
                 first, size = i + 1, 0
+            # Workers live on between tasks: what Arrow keeps for later goes back.
+            del texts
+            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -48,9 +48,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 def texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of at most ``SLICE_BYTES`` (one row at least): first, end, bytes, offsets.
 
-    A NULL counts as the empty text. Offsets are relative to the run's bytes.
+    A NULL counts as the empty text. Offsets are relative to the run's bytes. At the end the memory that
+    Arrow keeps for later goes back, since workers live on between tasks.
     """
-    column = pc.fill_null(column, "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
@@ -62,6 +64,7 @@ def texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         end = min(max(end, first + 1), len(column))
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
+    pa.default_memory_pool().release_unused()
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
