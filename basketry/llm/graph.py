@@ -130,13 +130,14 @@ def linked_components(
     labelled = buckets.drop("first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = stored(_several_components(labelled))
 
-    def apart(left: DataFrame, right: DataFrame) -> DataFrame:
+    def apart(left: DataFrame, right: DataFrame, *also: Column) -> DataFrame:
         """Pairs of one bucket, of different components, that can be similar."""
-        left, right = left.alias("l"), right.alias("r")
         met = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.component") != F.col("r.component"))
         met &= possible(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}"))
+        for condition in also:
+            met &= condition
         a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
-        return left.join(right, met).select(a, b).distinct()
+        return left.alias("l").join(right.alias("r"), met).select(a, b).distinct()
 
     later = []
     for turn in range(1, STAR_ROUNDS):
@@ -155,7 +156,11 @@ def linked_components(
         merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")))
         relabelled = open_.join(merged.toDF("component", "into"), "component", "left")
         open_ = stored(_several_components(relabelled.withColumn("component", F.coalesce("into", "component")).drop("into")))
-    later.append(stored(verify(apart(open_, open_).where("a < b"))))
+    # A pair is met in the smallest bucket that both share, not in all of them.
+    each = open_.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
+    open_ = stored(open_.join(each, "id"))
+    once = F.col("l.bucket") == F.array_min(F.array_intersect("l.buckets", "r.buckets"))
+    later.append(stored(verify(apart(open_, open_, F.col("l.id") < F.col("r.id"), once))))
     if all(more.isEmpty() for more in later):
         return found, links
     for more in later:
