@@ -157,8 +157,12 @@ def train(labelled: DataFrame) -> LanguageModel:
     drawn = rows.where(F.pmod("draw", F.lit(1 << 40)) < F.element_at(F.create_map(*bounds), F.col("lang")))
     drawn = drawn.dropDuplicates(["lang", "draw"])
     table = drawn.mapInArrow(_bags, "lang string, draw long, bag array<int>, count array<int>").toArrow().sort_by([("draw", "ascending"), ("lang", "ascending")])
-    samples = zip(table["bag"], table["count"], table["lang"].to_pylist())
-    return fit([(np.array(bag.values), np.array(count.values), lang) for bag, count, lang in samples if len(bag)])
+    rows = zip(table["bag"], table["count"], table["lang"].to_pylist())
+    samples = [(np.array(bag.values), np.array(count.values), lang) for bag, count, lang in rows if len(bag)]
+    # The driver goes on for a long time after training.
+    del table, rows
+    pa.default_memory_pool().release_unused()
+    return fit(samples)
 
 
 def _named(model: LanguageModel):
