@@ -4,8 +4,8 @@ A text is lower-cased in A-Z; its subwords are the runs of ``GRAMS`` bytes that
 or white space other than the word's edges (white space reads as one edge mark). Each subword is
 hashed to a row of an embedding table, the rows are averaged over the whole text, and a linear
 layer with softmax gives the language. Table and layer are learned together by stochastic gradient
-descent in numpy, on a bounded sample of labelled texts: tasks count the subwords of each whole text, one task learns
-from the counts, and only the model reaches the driver. Since both are linear their product is one
+descent in numpy, on a bounded sample of labelled texts: the executors count the subwords of each whole text, and
+only the counts reach the driver, packed. Since both are linear their product is one
 table of class scores, which is all that scoring needs.
 
 Scores are calibrated on the part of the sample that did not train: a temperature makes them
@@ -15,6 +15,7 @@ named calibration texts exceed.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -120,6 +121,17 @@ def fit(
     return LanguageModel(languages, (table / temperature).astype(np.float32), bias / np.float32(temperature), threshold)
 
 
+def _packed(bag: np.ndarray, count: np.ndarray) -> bytes:
+    """Ascending buckets and how often each, in few bytes."""
+    return zlib.compress(count.astype(np.int32).tobytes() + np.diff(bag, prepend=0).astype(np.uint16).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = zlib.decompress(packed)
+    n = len(data) // 6
+    return np.cumsum(np.frombuffer(data, np.uint16, n, 4 * n), dtype=np.int32), np.frombuffer(data, np.int32, n)
+
+
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Subword counts of each whole text."""
     for batch in batches:
@@ -131,45 +143,18 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c).slice(first, end - first) for c in ("lang", "draw")],
-                    pa.array([bag for bag, _ in counted], pa.list_(pa.int32())),
-                    pa.array([count.astype(np.int32) for _, count in counted], pa.list_(pa.int32())),
+                    pa.array([_packed(*one) for one in counted], pa.binary()),
                 ],
-                ["lang", "draw", "bag", "count"],
+                ["lang", "draw", "bag"],
             )
 
 
-_MODEL = "languages array<string>, cells binary, bias binary, threshold double"
-
-
-def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The model of all the subword counts, as one row."""
-    some = [batch for batch in batches if len(batch)]
-    samples = []
-    if some:
-        table = pa.Table.from_batches(some).sort_by([("draw", "ascending"), ("lang", "ascending")])
-        rows = zip(table["bag"], table["count"], table["lang"].to_pylist())
-        samples = [(np.array(bag.values), np.array(count.values), lang) for bag, count, lang in rows if len(bag)]
-        del table, rows
-    del some
-    model = fit(samples)
-    columns = [
-        pa.array([model.languages], pa.list_(pa.string())),
-        pa.array([np.ascontiguousarray(model.table).tobytes()], pa.binary()),
-        pa.array([model.bias.tobytes()], pa.binary()),
-        pa.array([model.threshold]),
-    ]
-    yield pa.RecordBatch.from_arrays(columns, ["languages", "cells", "bias", "threshold"])
-    # Workers live on between tasks.
-    del samples
-    pa.default_memory_pool().release_unused()
-
-
 def train(labelled: DataFrame) -> LanguageModel:
     """A model from ``labelled`` (doc_id, text, lang).
 
     Of each language about as many texts are read, ``SAMPLE_ROWS`` together: those whose hash lies below a bound that
-    follows from the number of its rows, so a rare language is learned from all it has, and what the learning task
-    holds is the same for any number of rows and tasks. Rows without text or language are left out, repeated rows count once; without
+    follows from the number of its rows, so a rare language is learned from all it has, and what reaches the driver
+    is the same for any number of rows and tasks. Rows without text or language are left out, repeated rows count once; without
     any row there is no language to name.
     """
     rows = labelled.where("text is not null and lang is not null")
@@ -182,13 +167,13 @@ def train(labelled: DataFrame) -> LanguageModel:
     rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
     drawn = rows.where(F.pmod("draw", F.lit(1 << 40)) < F.element_at(F.create_map(*bounds), F.col("lang")))
     drawn = drawn.dropDuplicates(["lang", "draw"])
-    bags = drawn.mapInArrow(_bags, "lang string, draw long, bag array<int>, count array<int>")
-    # A bounded sample: one task holds it whole.
-    learned = bags.repartition(1).mapInArrow(_fitted, _MODEL).first()
-    if learned is None:
-        return fit([])
-    cells, bias = (np.frombuffer(learned[c], np.float32) for c in ("cells", "bias"))
-    return LanguageModel(learned.languages, cells.reshape(BUCKETS, len(learned.languages)), bias, learned.threshold)
+    table = drawn.mapInArrow(_bags, "lang string, draw long, bag binary").toArrow().sort_by([("draw", "ascending"), ("lang", "ascending")])
+    bags = zip(map(_unpacked, table["bag"].to_pylist()), table["lang"].to_pylist())
+    samples = [(bag, count, lang) for (bag, count), lang in bags if len(bag)]
+    # The driver goes on for a long time after training.
+    del table, bags
+    pa.default_memory_pool().release_unused()
+    return fit(samples)
 
 
 def _named(model: LanguageModel):
