@@ -3,22 +3,27 @@
 The model file is a protobuf; its pieces, scores, normaliser and flags are read from it and rebuilt as a
 tokenizers pipeline: character map, white space as the metaspace mark, unigram scores or merges in the order of
 their scores, bytes for what the vocabulary lacks. Texts are cut before each run of marks, where no
-piece can cross, so equal words are encoded once. Batches are encoded by several threads.
+piece can cross, and each distinct word of some megabytes of texts is encoded once, by several threads. Pieces
+are spelled out again by looking up their bytes.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MARK = "▁"
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20  # texts whose distinct words are encoded together
+WORDS = 20_000  # words given to the threads at once
 # Kinds of pieces and models in the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -114,9 +119,73 @@ def build_tokenizer(content: bytes):
     return tokenizer
 
 
+class Coder:
+    """A model's tokenizer, applied to Arrow columns of texts and lists of pieces."""
+
+    def __init__(self, content: bytes):
+        model = parse_model(content)
+        self.whole = build_tokenizer(content)
+        self.core = build_tokenizer(content)
+        self.core.normalizer = self.core.pre_tokenizer = None
+        self.cut = self.whole.pre_tokenizer is not None
+        self.plain = model["escape"] and not model["squeeze"] and not model["charmap"]
+        self.prefix = model["prefix"]
+        byte = [re.fullmatch("<0x([0-9A-Fa-f]{2})>", text) for text, _, _ in model["pieces"]]
+        spelled = [bytes.fromhex(b[1]) if b else text.replace(MARK, " ").encode() for b, (text, _, _) in zip(byte, model["pieces"])]
+        # A second time as the first piece of a text.
+        self.spelled = pa.array(spelled + [s.removeprefix(b" ") if self.prefix else s for s in spelled], pa.binary())
+
+    def _normal(self, texts: pa.Array) -> pa.Array:
+        """The texts as the model normalises them. Empty ones stay so."""
+        if self.plain:
+            normal = pc.replace_substring(texts, " ", MARK) if not self.cut else texts
+            if self.prefix:
+                first = MARK if not self.cut else " "
+                normal = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(first, normal, ""))
+            return normal
+        return pa.array([self.whole.normalizer.normalize_str(t) if t else "" for t in texts.to_pylist()], pa.string())
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The pieces of every text; none of an empty one."""
+        texts = self._normal(texts)
+        if self.cut:
+            texts = pc.replace_substring(texts, MARK, " ")
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        begins = np.zeros(len(data) + 1, bool)
+        if self.cut:
+            begins[:-1] = data == 0x20
+            begins[1:-1] &= data[:-1] != 0x20
+        begins[offsets] = True
+        begins = np.flatnonzero(begins)
+        words = pa.Array.from_buffers(
+            pa.string(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        known = words.dictionary
+        known = (pc.replace_substring(known, " ", MARK) if self.cut else known).to_pylist()
+        ids = []
+        for first in range(0, len(known), WORDS):
+            ids += [e.ids for e in self.core.encode_batch_fast(known[first : first + WORDS], add_special_tokens=False)]
+        taken = pa.array(ids, pa.list_(pa.int32())).take(words.indices)
+        ends = taken.offsets.to_numpy()[np.searchsorted(begins, offsets)]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The texts that lists of pieces stand for."""
+        offsets, places = ids.offsets.to_numpy(), ids.flatten().to_numpy().copy()
+        places[offsets[:-1][offsets[:-1] < offsets[1:]] - offsets[0]] += len(self.spelled) // 2
+        spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), self.spelled.take(pa.array(places))), b"")
+        try:
+            return spelled.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no character
+            return pa.array(self.whole.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+
+
 @lru_cache(maxsize=2)
-def _cached(content: bytes):
-    return build_tokenizer(content)
+def _cached(content: bytes) -> Coder:
+    return Coder(content)
 
 
 def read_model(spark: SparkSession, path: str) -> bytes:
@@ -131,24 +200,15 @@ def _pieces(content: bytes, threads: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        tokenizer = _cached(content)
+        coder = _cached(content)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            first = size = 0
-            for i, text in enumerate(texts):
-                size += len(text or "")
-                if size < BATCH_BYTES and i + 1 < len(texts):
-                    continue
-                some = [t or "" for t in texts[first : i + 1]]
-                ids = [e.ids if t else [] for t, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False))]
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(first, i + 1 - first), pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())],
-                    ["row", "piece_ids", "decoded"],
-                )
-                first, size = i + 1, 0
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            cuts = np.unique([0, *(np.flatnonzero(np.diff(size // BATCH_BYTES)) + 1), len(batch)]).tolist()
+            for first, end in zip(cuts[:-1], cuts[1:]):
+                some = batch.slice(first, end - first)
+                ids = coder.encode(pc.fill_null(some.column("text"), "").cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([some.column("row"), ids, coder.decode(ids)], ["row", "piece_ids", "decoded"])
             # Workers live on between tasks: what Arrow keeps for later goes back.
-            del texts
             pa.default_memory_pool().release_unused()
 
     return run
